@@ -1,0 +1,40 @@
+"""Late rows: set aside what is older than the watermark of the batches before."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from paystrata.sources.files import Folder
+
+DELAY_SECONDS = 5
+_KEEP = 100
+
+
+def _watermark(folder: Folder, batch_id: int, delay_seconds: int) -> int | None:
+    """Newest event time of the batches before this one, less the delay, in microseconds."""
+    earlier = [int(name) for name in folder.children() if name.isdigit() and int(name) < batch_id]
+    if not earlier:
+        return None
+    newest = folder.read_text(str(max(earlier)))
+    return int(newest) - delay_seconds * 1_000_000 if newest else None
+
+
+def split_late(batch: DataFrame, batch_id: int, state_path: str, delay_seconds: int = DELAY_SECONDS) -> DataFrame:
+    """Rows of the batch that are late; a row without a time is not, and nothing in the first batch is.
+
+    The only state is one number per batch, the newest time so far, kept under ``state_path``. Batch *n* reads the
+    numbers of earlier batches only, so a replay gives the same split.
+    """
+    folder = Folder(batch.sparkSession, state_path)
+    watermark = _watermark(folder, batch_id, delay_seconds)
+    newest = batch.agg(F.max(F.unix_micros("event_time"))).first()[0]
+    if watermark is not None:
+        newest = max(newest or 0, watermark + delay_seconds * 1_000_000)
+    folder.write_text(str(batch_id), "" if newest is None else str(newest))
+    for name in folder.children():
+        if name.isdigit() and int(name) < batch_id - _KEEP:
+            folder.delete(name)
+    if watermark is None:
+        return batch.limit(0)
+    return batch.filter(F.col("event_time") < F.timestamp_micros(F.lit(watermark)))
