@@ -19,12 +19,12 @@ def _of_customer(df: DataFrame, customer_id: str | None) -> DataFrame:
 
 def recent_transactions(online: DataFrame, customer_id: str | None = None, limit: int = 20,
                         columns: list[str] | None = None) -> DataFrame:
-    """The newest ``limit`` transactions; the id breaks ties. Each task keeps only ``limit`` rows."""
+    """The newest ``limit`` transactions; the other columns break ties. Each task keeps only ``limit`` rows."""
     if limit < 1:
         raise ValueError("limit must be at least 1")
-    return (_of_customer(online, customer_id)
-            .select(*(columns or TRANSACTION_COLUMNS))
-            .orderBy(F.desc("event_time"), "transaction_id").limit(limit))
+    ties = [name for name in TRANSACTION_COLUMNS if name != "event_time"]
+    return (_of_customer(online, customer_id).orderBy(F.desc("event_time"), *ties).limit(limit)
+            .select(*(columns or TRANSACTION_COLUMNS)))
 
 
 def customer_stats(online: DataFrame, customer_id: str | None = None) -> DataFrame:
