@@ -74,21 +74,24 @@ def rejected(dim: DataFrame, changes: DataFrame, pk: str) -> DataFrame:
 
 
 def _require_valid(dim: DataFrame, changes: DataFrame, pk: str, what: str) -> None:
-    bad = rejected(dim, changes, pk).count()
-    if bad:
-        raise QualityError(f"{bad} {what} name a missing or deleted {pk}")
-    _require_unique(changes, pk, what)
+    known = dim.filter(_active()).select(pk, F.lit(True).alias("_known"))
+    found = (changes.select(pk).groupBy(pk).agg(F.count(F.lit(1)).alias("times")).join(known, pk, "left")
+             .agg(F.count_if(F.col("_known").isNull()).alias("unknown"),
+                  F.count_if(F.col("times") > 1).alias("doubled")).first())
+    if found.unknown or found.doubled:
+        raise QualityError(f"{what}: {found.unknown} {pk} values are missing or deleted, "
+                           f"{found.doubled} occur more than once")
 
 
-def _require_unique(changes: DataFrame, column: str, what: str) -> None:
-    doubled = changes.groupBy(column).count().filter("count > 1").count()
+def _require_unique(adds: DataFrame) -> None:
+    doubled = adds.groupBy("ref").count().filter("count > 1").count()
     if doubled:
-        raise QualityError(f"{doubled} values of {column} occur more than once in {what}")
+        raise QualityError(f"adds: {doubled} values of ref occur more than once")
 
 
 def add_rows(dim: DataFrame, adds: DataFrame, pk: str) -> DataFrame:
     """Append new rows, ACTIVE unless they say otherwise, under the next ids."""
-    _require_unique(adds, "ref", "adds")
+    _require_unique(adds)
     numbered = number_new(dim, adds, pk)
     if "status" in dim.columns and "status" not in numbered.columns:
         numbered = numbered.withColumn("status", F.lit("ACTIVE"))

@@ -410,8 +410,7 @@ def stream_dedup_latest(spark, sf_dir):
                      f"{work}/raw", turn)
         newest = dedup_latest(detail.clean_transactions(
             parse_messages(folder_topic(spark, f"{work}/raw")), require_customer=True))
-        (newest.writeStream.outputMode("update").option("checkpointLocation", f"{work}/checkpoint")
-         .trigger(**jobs.BACKLOG).foreachBatch(sink.upsert).start().awaitTermination())
+        jobs.start(newest, "update", f"{work}/checkpoint", jobs.BACKLOG, sink.upsert).awaitTermination()
     return sink.latest()
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -48,6 +50,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Plan adaptively inside ``foreachBatch``.
+
+    A stream turns adaptive planning off in its own session, because its state must stay where it is. The frame
+    handed to ``foreachBatch`` is past the stateful plan, so joins and writes made from it may be re-planned by
+    size and skew; the setting goes back before the next micro-batch is planned.
+    """
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path under the cluster's shared checkpoint folder.
 

@@ -22,6 +22,10 @@ class Folder:
             return []
         return sorted(status.getPath().getName() for status in self._fs.listStatus(self._path(name)))
 
+    def size(self, name: str = "") -> int:
+        """Bytes in a file or below a folder."""
+        return self._fs.getContentSummary(self._path(name)).getLength()
+
     def delete(self, name: str) -> None:
         self._fs.delete(self._path(name), True)
 

@@ -21,9 +21,17 @@ class KeyedLog:
         self._folder = Folder(spark, self.path)
 
     def upsert(self, df: DataFrame, batch_id: int) -> None:
-        """Write the rows of a batch; the last batch that holds a key wins."""
+        """Write the rows of a batch; the last batch that holds a key wins.
+
+        Rows are gathered into files of even size first: a stream has as many output tasks as state partitions, and
+        a small file from each, in each batch, would soon be too many.
+        """
         rows = df.select(*[F.col(field.name).cast(field.dataType).alias(field.name) for field in self.schema])
-        rows.write.mode("overwrite").parquet(f"{self.path}/log/batch_id={batch_id}")
+        rows.hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/log/batch_id={batch_id}")
+
+    def batch(self, batch_id: int) -> DataFrame:
+        """The rows one batch wrote."""
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/log/batch_id={batch_id}")
 
     def _base(self) -> int:
         """Highest batch folded into a finished base, -1 when there is none."""

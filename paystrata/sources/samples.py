@@ -9,9 +9,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paystrata.sources.files import Folder
+
+
+ONE_SPLIT = 128 * 1024 * 1024      # what Spark reads in one task by default
+WORTH_SPREADING = 1024 * 1024
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. One that fits a single scan task is spread over the cores; a larger one splits by itself."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    size = Folder(spark, sf_dir).size(f"{name}.parquet")
+    if WORTH_SPREADING <= size < ONE_SPLIT:
+        return rows.repartition(spark.sparkContext.defaultParallelism)
+    return rows
 
 
 def _text_id(prefix: str, *parts: Column) -> Column:
