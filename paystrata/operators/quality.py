@@ -78,8 +78,8 @@ def orphan_keys(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
 CONTRACT_FIELDS = ["transaction_id", "customer_id", "account_id", "merchant_id", "event_time"]
 
 
-def split_contract(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Transactions that meet the record contract, and the others with an array of reasons."""
+def judge_contract(df: DataFrame) -> DataFrame:
+    """Add ``reasons``, the ways in which a transaction breaks the record contract; empty when it meets it."""
     def reason(bad: Column, text: str) -> Column:
         return F.when(bad, F.lit(text))
 
@@ -89,7 +89,12 @@ def split_contract(df: DataFrame) -> tuple[DataFrame, DataFrame]:
         reason(F.coalesce(~F.col("currency").isin(CURRENCIES), F.lit(True)), "currency unknown"),
         reason(F.coalesce(~F.col("transaction_type").isin(TRANSACTION_TYPES), F.lit(True)),
                "transaction_type unknown")]
-    judged = df.withColumn("reasons", F.array_compact(F.array(*checks)))
+    return df.withColumn("reasons", F.array_compact(F.array(*checks)))
+
+
+def split_contract(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Transactions that meet the record contract, and the others with their reasons."""
+    judged = judge_contract(df)
     return judged.filter(F.size("reasons") == 0).drop("reasons"), judged.filter(F.size("reasons") > 0)
 
 

@@ -15,8 +15,12 @@ from paystrata.sources.files import Folder
 
 
 class KeyedLog:
-    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: list[str]):
+    """``near`` names the column that reads filter by; files keep its values together and in order."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: list[str],
+                 near: str | None = None):
         self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, keys
+        self._near = near
         self._stored = StructType([*schema.fields, StructField("batch_id", LongType())])
         self._folder = Folder(spark, self.path)
 
@@ -27,7 +31,14 @@ class KeyedLog:
         a small file from each, in each batch, would soon be too many.
         """
         rows = df.select(*[F.col(field.name).cast(field.dataType).alias(field.name) for field in self.schema])
-        rows.hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/log/batch_id={batch_id}")
+        self._write(rows, f"log/batch_id={batch_id}")
+
+    def _write(self, rows: DataFrame, name: str) -> None:
+        if self._near:
+            rows = rows.hint("rebalance", F.col(self._near)).sortWithinPartitions(self._near)
+        else:
+            rows = rows.hint("rebalance")
+        rows.write.mode("overwrite").parquet(f"{self.path}/{name}")
 
     def batch(self, batch_id: int) -> DataFrame:
         """The rows one batch wrote."""
@@ -64,7 +75,7 @@ class KeyedLog:
             return
         upto = batches[-2]
         newest = latest_by_key(self.rows().filter(F.col("batch_id") <= upto), self.keys, ["batch_id"])
-        newest.select(*self._stored.names).write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
+        self._write(newest.select(*self._stored.names), f"base/upto={upto}")
         for batch in batches:
             if batch <= old_base:       # readers that started before this base still find the last one's log
                 self._folder.delete(f"log/batch_id={batch}")

@@ -5,8 +5,9 @@ from decimal import Decimal
 
 import pytest
 
-from paystrata.model import TABLES, TRANSACTION_ONLINE
+from paystrata.model import ONLINE_KEY, TABLES, TRANSACTION_ONLINE
 from paystrata.operators import serving
+from paystrata.sources.keyed import KeyedLog
 from paystrata.sources.lake import conform
 
 
@@ -50,3 +51,11 @@ def test_an_unknown_customer_has_an_empty_profile(online, profiles):
     [row] = serving.full_profile(online, profiles, "C7").collect()
     assert row.offline_profile.txn_count == 1
     assert conform(profiles, "ads_customer_profile").count() == 3
+
+
+def test_one_customer_is_found_by_pushed_filters(spark, tmp_path, online):
+    log = KeyedLog(spark, str(tmp_path / "online"), TRANSACTION_ONLINE, ONLINE_KEY, "customer_id")
+    log.upsert(online, 0)
+    mine = serving.customer_stats(log.latest(), "C1")
+    assert {(r.transaction_type, r.transaction_count) for r in mine.collect()} == {("PAYMENT", 2), ("REFUND", 1)}
+    assert "EqualTo(customer_id,C1)" in mine._jdf.queryExecution().executedPlan().toString()

@@ -48,7 +48,9 @@ def test_messages_round_trip_and_junk_becomes_null(spark):
     assert sorted(map(tuple, parse_messages(messages).collect())) == sorted(map(tuple, rows.collect()))
     junk = spark.createDataFrame([("hello",), ("{}",), ('{"transaction_id":"T9","amount":"x"}',)], ["value"])
     parsed = parse_messages(junk.withColumn("key", F.lit(None).cast("string")))
-    assert parsed.count() == 3 and clean_transactions(parsed).count() == 0
+    clean = clean_transactions(parsed)
+    assert parsed.count() == 3 and clean.count() == 0
+    assert clean._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1     # parsed once
 
 
 def test_dedup_emits_only_when_the_newest_row_changes(spark, tmp_path):
