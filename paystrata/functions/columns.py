@@ -56,8 +56,3 @@ def text_or_empty(column: str) -> Column:
 
 def to_millis(moment: Column) -> Column:
     return F.date_trunc("MILLISECOND", moment)
-
-
-def iso_utc(moment: Column) -> Column:
-    """ISO-8601 text in UTC with three fraction digits and ``Z``; the session zone is UTC."""
-    return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")

@@ -57,6 +57,7 @@ LATE_TRANSACTION = _schema(
 
 # Columns of every warehouse table; writes are conformed to these and unknown tables are refused
 TABLES: dict[str, StructType] = {
+    "fact_transaction": StructType([*TRANSACTION.fields, StructField("dt", DateType())]),
     "ods_transaction": StructType([*TRANSACTION.fields, StructField("dt", DateType())]),
     "ods_customer": CUSTOMER,
     "ods_merchant": MERCHANT,

@@ -51,54 +51,82 @@ def _require_upstream(lake: Lake, name: str, day: str | None) -> None:
         raise quality.QualityError(f"{name} for {day}: {source} has no such day yet")
 
 
-def run_table(house: Warehouse, name: str, day: str | None = None) -> None:
-    """Read, transform, write beside the live data, check, publish."""
-    lake, spark = house.lake, house.spark
+def run_table(house: Warehouse, name: str, day: str | None = None) -> dict[str, int]:
+    """Read, transform, write beside the live data, check, publish; returns the counts of the check."""
+    lake = house.lake
     _require_upstream(lake, name, day)
-
-    if name == "ods_transaction":
-        raw = scan_source(spark, house.sources, "transaction", "fact_transaction", day)
-        rows = staging.ods_transaction(raw)
-        if day:
-            lake.replace_day(rows, name, day, min_rows=raw.count())
-        else:
-            lake.replace_table(rows, name, min_rows=raw.count())
-    elif name == "ods_customer":
-        raw = staging.with_status(scan_source(spark, house.sources, "master", "dim_customer"))
-        lake.replace_table(staging.ods_customer(raw), name, quality.ods_customer_rules(), raw.count())
-    elif name == "ods_merchant":
-        raw = staging.with_status(scan_source(spark, house.sources, "master", "dim_merchant"))
-        lake.replace_table(staging.ods_merchant(raw), name, quality.ods_merchant_rules(), raw.count())
-    elif name == "dim_customer":
-        lake.replace_table(dimensions.dim_customer(lake.read("ods_customer")), name, min_rows=1)
-    elif name == "dim_merchant":
-        lake.replace_table(dimensions.dim_merchant(lake.read("ods_merchant")), name, min_rows=1)
-    elif name == "dwd_transaction":
-        clean = detail.clean_transactions(lake.read_days("ods_transaction", day))
-        rows = detail.enrich(clean, lake.read("dim_customer"), lake.read("dim_merchant"))
-        lake.replace_day(rows, name, day, quality.detail_rules(), min_rows=1)
-    elif name in ("dws_customer_daily", "dws_merchant_daily"):
-        dwd = lake.read_days("dwd_transaction", day)
-        roll_up = rollups.customer_daily if name == "dws_customer_daily" else rollups.merchant_daily
-        lake.replace_day(roll_up(dwd), name, day, quality.rollup_rules(), min_rows=1, max_rows=dwd.count())
-    elif name == "ads_customer_profile":
-        week = reports.customer_profile(lake.read_days("dws_customer_daily", day, days=7))
-        lake.replace_day(week.filter(F.col("dt") == F.lit(parse_day(day))), name, day)
-    elif name == "ads_daily_report":
-        month = reports.daily_report(lake.read_month("dws_merchant_daily", day))
-        lake.replace_day(month.filter(F.col("dt") == F.lit(parse_day(day))), name, day)
-    elif name == "ads_merchant_top10":
-        lake.replace_day(reports.merchant_top(lake.read_days("dws_merchant_daily", day)), name, day)
-    elif name == "lookup_customer":
-        publish_lookup(lake, lake.read("dim_customer"), name, "customer_id", CUSTOMER_LOOKUP_PREFIX)
-    elif name == "lookup_merchant":
-        publish_lookup(lake, lake.read("dim_merchant"), name, "merchant_id", MERCHANT_LOOKUP_PREFIX)
-    else:
+    if name not in _JOBS:
         raise KeyError(f"no job makes table {name!r}")
+    return _JOBS[name](house, name, day)
+
+
+def _ods_transaction(house: Warehouse, name: str, day: str | None) -> dict[str, int]:
+    raw = scan_source(house.spark, house.sources, "transaction", "fact_transaction", day)
+    rows, expected = staging.ods_transaction(raw), raw.count()
+    if day:
+        return house.lake.replace_day(rows, name, day, min_rows=expected)
+    return house.lake.replace_table(rows, name, min_rows=expected)
+
+
+def _ods_dimension(house: Warehouse, name: str, day: str | None) -> dict[str, int]:
+    source = name.replace("ods", "dim")
+    raw = staging.with_status(scan_source(house.spark, house.sources, "master", source))
+    if name == "ods_customer":
+        return house.lake.replace_table(staging.ods_customer(raw), name, quality.ods_customer_rules(), raw.count())
+    return house.lake.replace_table(staging.ods_merchant(raw), name, quality.ods_merchant_rules(), raw.count())
+
+
+def _dimension(house: Warehouse, name: str, day: str | None) -> dict[str, int]:
+    clean = dimensions.dim_customer if name == "dim_customer" else dimensions.dim_merchant
+    return house.lake.replace_table(clean(house.lake.read(name.replace("dim", "ods"))), name, min_rows=1)
+
+
+def _detail(house: Warehouse, name: str, day: str) -> dict[str, int]:
+    ods = house.lake.read_days("ods_transaction", day)
+    rows = detail.enrich(detail.clean_transactions(ods), house.lake.read("dim_customer"),
+                         house.lake.read("dim_merchant"))
+    found = house.lake.replace_day(rows, name, day, quality.detail_rules(), min_rows=1)
+    return {**found, "filtered": ods.count() - found["row_count"]}
+
+
+def _rollup(house: Warehouse, name: str, day: str) -> dict[str, int]:
+    dwd = house.lake.read_days("dwd_transaction", day)
+    roll_up = rollups.customer_daily if name == "dws_customer_daily" else rollups.merchant_daily
+    return house.lake.replace_day(roll_up(dwd), name, day, quality.rollup_rules(), min_rows=1, max_rows=dwd.count())
+
+
+def _customer_profile(house: Warehouse, name: str, day: str) -> dict[str, int]:
+    """The moving averages reach back six days; only the day itself is written."""
+    week = reports.customer_profile(house.lake.read_days("dws_customer_daily", day, days=7))
+    return house.lake.replace_day(week.filter(F.col("dt") == F.lit(parse_day(day))), name, day)
+
+
+def _daily_report(house: Warehouse, name: str, day: str) -> dict[str, int]:
+    """Month-to-date sums need the month so far, and the change of the 1st needs the day before it."""
+    month = reports.daily_report(house.lake.read_month("dws_merchant_daily", day))
+    return house.lake.replace_day(month.filter(F.col("dt") == F.lit(parse_day(day))), name, day)
+
+
+def _merchant_top(house: Warehouse, name: str, day: str) -> dict[str, int]:
+    return house.lake.replace_day(reports.merchant_top(house.lake.read_days("dws_merchant_daily", day)), name, day)
+
+
+def _lookup(house: Warehouse, name: str, day: str | None) -> dict[str, int]:
+    pk, prefix = {"lookup_customer": ("customer_id", CUSTOMER_LOOKUP_PREFIX),
+                  "lookup_merchant": ("merchant_id", MERCHANT_LOOKUP_PREFIX)}[name]
+    dim = house.lake.read(name.replace("lookup", "dim"))
+    return {"row_count": publish_lookup(house.lake, dim, name, pk, prefix)}
+
+
+_JOBS = {
+    "ods_transaction": _ods_transaction, "ods_customer": _ods_dimension, "ods_merchant": _ods_dimension,
+    "dim_customer": _dimension, "dim_merchant": _dimension, "dwd_transaction": _detail,
+    "dws_customer_daily": _rollup, "dws_merchant_daily": _rollup, "ads_customer_profile": _customer_profile,
+    "ads_daily_report": _daily_report, "ads_merchant_top10": _merchant_top,
+    "lookup_customer": _lookup, "lookup_merchant": _lookup,
+}
 
 
-def run_day(house: Warehouse, day: str) -> None:
+def run_day(house: Warehouse, day: str) -> dict[str, dict[str, int]]:
     """All tables of one day, layer by layer; running it again changes nothing."""
-    for layer in LAYERS:
-        for name in layer:
-            run_table(house, name, day)
+    return {name: run_table(house, name, day) for layer in LAYERS for name in layer}

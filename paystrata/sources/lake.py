@@ -85,6 +85,13 @@ class Lake:
         current = self._current(table)
         return current is not None and self._folder.exists(f"{current}/dt={parse_day(day).isoformat()}")
 
+    def register_views(self) -> list[str]:
+        """Make every written table a temporary view, for queries in SQL."""
+        written = [table for table in TABLES if self.exists(table)]
+        for table in written:
+            self.read(table).createOrReplaceTempView(table)
+        return written
+
     # ---- writes
 
     def _write(self, df: DataFrame, table: str, path: str, by_day: bool, mode: str = "errorifexists") -> None:
@@ -97,18 +104,19 @@ class Lake:
         writer = df.write.mode(mode)
         (writer.partitionBy("dt") if by_day else writer).parquet(f"{self.root}/{path}")
 
-    def replace_table(self, df: DataFrame, table: str, rules: list[Rule] | None = None, min_rows: int = 0) -> None:
-        """Write a new version of the whole table, check it, publish it."""
+    def replace_table(self, df: DataFrame, table: str, rules: list[Rule] | None = None,
+                      min_rows: int = 0) -> dict[str, int]:
+        """Write a new version of the whole table, check it, publish it; returns what the check counted."""
         rows = conform(df, table)
         version = f"{table}/v={max(self._versions(table), default=0) + 1}"
         self._write(rows, table, version, by_day="dt" in rows.columns)
         written = self.spark.read.schema(TABLES[table]).parquet(f"{self.root}/{version}")
-        if rules or min_rows:
-            enforce(written, rules or [], min_rows)
+        found = enforce(written, rules or [], min_rows)
         self._folder.write_text(f"{version}/_PUBLISHED", "")
+        return found
 
     def replace_day(self, df: DataFrame, table: str, day: str | date, rules: list[Rule] | None = None,
-                    min_rows: int = 0, max_rows: int | None = None) -> None:
+                    min_rows: int = 0, max_rows: int | None = None) -> dict[str, int]:
         """Replace one day. A day without rows becomes empty; a row of another day stops the write."""
         day = parse_day(day)
         fits = F.when(F.col("dt") == F.lit(day), F.lit(True)).otherwise(
@@ -122,8 +130,7 @@ class Lake:
         self._write(rows.drop("dt"), table, stage, by_day=False)
         written = self.spark.read.parquet(f"{self.root}/{stage}")
         try:
-            if rules or min_rows or max_rows is not None:
-                enforce(written, rules or [], min_rows, max_rows)
+            found = enforce(written, rules or [], min_rows, max_rows)
         except Exception:
             self._folder.delete(stage)
             raise
@@ -131,6 +138,7 @@ class Lake:
         self._folder.delete(target)
         self._folder.rename(stage, target)
         self._folder.write_text(f"{current}/_PUBLISHED", "")
+        return found
 
     def append(self, df: DataFrame, table: str) -> None:
         """Add rows to a table; nothing is read back."""

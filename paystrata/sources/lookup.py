@@ -31,7 +31,7 @@ def verify_lookup(lookup: DataFrame, prefix: str, dim: DataFrame) -> int:
 
 
 def publish_lookup(lake: Lake, dim: DataFrame, table: str, pk: str, prefix: str) -> int:
-    lake.replace_table(to_lookup(dim, pk, prefix), table)
+    lake.replace_table(to_lookup(dim, pk, prefix), table, min_rows=1)
     return verify_lookup(lake.read(table), prefix, dim)
 
 

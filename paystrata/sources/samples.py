@@ -17,11 +17,11 @@ WORTH_SPREADING = 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. One that fits a single scan task is spread over the cores; a larger one splits by itself."""
+    """A test table. One that fits a single scan task is spread by its key; a larger one splits by itself."""
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     size = Folder(spark, sf_dir).size(f"{name}.parquet")
     if WORTH_SPREADING <= size < ONE_SPLIT:
-        return rows.repartition(spark.sparkContext.defaultParallelism)
+        return rows.repartition(spark.sparkContext.defaultParallelism, rows.columns[0])
     return rows
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StructType
 
 from paystrata.model import TRANSACTION
+from paystrata.sources.files import Folder
 
 ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 _MESSAGE = StructType().add("key", "string").add("value", "string")
@@ -44,7 +45,9 @@ def parse_messages(messages: DataFrame, schema: StructType = TRANSACTION) -> Dat
 
 
 def write_folder(messages: DataFrame, path: str, batch_id: int) -> None:
-    messages.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    """Add a batch to a folder topic. A batch that is there in full is left alone: a replay sends nothing twice."""
+    if not Folder(messages.sparkSession, path).exists(f"batch_id={batch_id}/_SUCCESS"):
+        messages.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def write_kafka(messages: DataFrame, servers: str, topic: str) -> None:

@@ -120,7 +120,10 @@ def test_days_build_up_and_a_rerun_changes_nothing(spark, house):
         run_day(house, day)
     tables = [name for layer in LAYERS for name in layer]
     before = {name: content(house.lake.read(name)) for name in tables if not name.startswith("lookup")}
-    run_day(house, "2026-09-04")
+    counts = run_day(house, "2026-09-04")
+    assert counts["dwd_transaction"]["filtered"] == 1 and counts["ads_daily_report"]["row_count"] == 1
+    assert set(house.lake.register_views()) == set(tables)
+    assert spark.sql("SELECT count(DISTINCT dt) FROM ads_daily_report").first()[0] == 6
     after = {name: content(house.lake.read(name)) for name in before}
     assert before == after
 

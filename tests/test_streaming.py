@@ -53,6 +53,15 @@ def test_messages_round_trip_and_junk_becomes_null(spark):
     assert clean._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1     # parsed once
 
 
+def test_a_replayed_batch_is_not_sent_twice(spark, tmp_path):
+    topic = str(tmp_path / "topic")
+    for _ in range(2):
+        send(spark, topic, 0, [("T1", 1, "C1", "M1", 0)])
+    files = [p.name for p in (tmp_path / "topic" / "batch_id=0").glob("*.parquet")]
+    send(spark, topic, 0, [("T1", 1, "C1", "M1", 0)])
+    assert [p.name for p in (tmp_path / "topic" / "batch_id=0").glob("*.parquet")] == files
+
+
 def test_dedup_emits_only_when_the_newest_row_changes(spark, tmp_path):
     raw, checkpoint, seen = str(tmp_path / "raw"), str(tmp_path / "checkpoint"), []
     turns = [
