@@ -56,11 +56,15 @@ class Lake:
         return self._current(table) is not None
 
     def drop_old_versions(self, table: str, keep: int = 2) -> None:
+        """Delete all but the newest ``keep`` versions, and what broken-off day writes left in the newest."""
         current = self._current(table)
         if current:
             number = int(current.rsplit("=", 1)[1])
             for old in [n for n in self._versions(table) if n <= number][:-keep]:
                 self._folder.delete(f"{table}/v={old}")
+            for name in self._folder.children(current):
+                if name.startswith(".stage-"):
+                    self._folder.delete(f"{current}/{name}")
 
     # ---- reads
 

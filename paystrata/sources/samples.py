@@ -119,12 +119,9 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
                      .alias("open_time")))
 
 
-def stream_rows(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
-    """``events`` as transactions, a month squeezed into about seven hours; live when ``streaming``."""
+def stream_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as transactions, a month squeezed into about seven hours."""
     events = table(spark, sf_dir, "events")
-    if streaming:
-        # a glob lets one path name either a single file or a folder of files
-        events = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/event[s].parquet")
     squeezed = F.lit(1788480000000000) + F.expr("(unix_micros(CAST(ts AS TIMESTAMP)) - 1704067200000000) div 100")
     return events.select(
         _text_id("T", F.col("event_id")).alias("transaction_id"),

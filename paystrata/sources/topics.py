@@ -13,10 +13,13 @@ ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 _MESSAGE = StructType().add("key", "string").add("value", "string")
 
 
-def kafka_topic(spark: SparkSession, servers: str, topic: str, group: str) -> DataFrame:
-    """A live topic from its latest offset, as ``key`` and ``value`` text (needs the Kafka connector package)."""
+def kafka_topic(spark: SparkSession, servers: str, topic: str, group: str, **options: str) -> DataFrame:
+    """A live topic from its latest offset, as ``key`` and ``value`` text (needs the Kafka connector package).
+
+    ``maxOffsetsPerTrigger`` among the options bounds a micro-batch after a backlog.
+    """
     return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-            .option("kafka.group.id", group).option("startingOffsets", "latest").load()
+            .option("kafka.group.id", group).option("startingOffsets", "latest").options(**options).load()
             .select(F.col("key").cast("string"), F.col("value").cast("string")))
 
 

@@ -82,6 +82,29 @@ def test_dedup_emits_only_when_the_newest_row_changes(spark, tmp_path):
     assert seen == [[("T1", 10), ("T2", 20)], [], [], [("T2", 21)], [("T3", 30)]]
 
 
+def test_a_batch_that_failed_after_its_write_is_emitted_again_unchanged(spark, tmp_path):
+    raw, checkpoint, seen, fail = str(tmp_path / "raw"), str(tmp_path / "checkpoint"), [], [True]
+
+    def write(batch, batch_id):
+        seen.append((batch_id, sorted((r.transaction_id, int(r.amount)) for r in batch.collect()),
+                     batch.sparkSession.conf.get("spark.sql.adaptive.enabled")))
+        if batch_id == 1 and fail.pop():
+            raise RuntimeError("executor lost")
+
+    def run():
+        out = dedup_latest(clean_transactions(parse_messages(folder_topic(spark, raw)), require_customer=True))
+        jobs.start(out, "update", checkpoint, jobs.BACKLOG, write).awaitTermination()
+
+    send(spark, raw, 0, [("T1", 1, "C1", "M1", 10), ("T2", 1, "C1", "M1", 10)])
+    run()
+    send(spark, raw, 1, [("T1", 2, "C1", "M1", 20), ("T2", 9, "C1", "M1", 5)])
+    with pytest.raises(Exception, match="executor lost"):
+        run()
+    fail.append(False)
+    run()
+    assert seen == [(0, [("T1", 1), ("T2", 1)], "true"), (1, [("T1", 2)], "true"), (1, [("T1", 2)], "true")]
+
+
 def test_one_transaction_with_very_many_copies(spark, tmp_path):
     """A third of all rows share one id: copies combine before the shuffle and the newest survives."""
     raw = str(tmp_path / "raw")
