@@ -1,9 +1,11 @@
-"""Command line: one table, one day, or one streaming job.
+"""Command line: one table, one day, one streaming job, or one serving query.
 
     python -m paystrata table dws_merchant_daily 2026-09-04 --lake /data/lake --sources /data/raw
     python -m paystrata day 2026-09-04 --lake /data/lake --sources /data/raw
     python -m paystrata stream clean --lake /data/lake --topics /data/topics
     python -m paystrata stream windows --lake /data/lake --kafka broker:9092
+    python -m paystrata recent --lake /data/lake --customer C17 --limit 20
+    python -m paystrata profile C17 --lake /data/lake
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ import json
 from paystrata.model import (
     LATE_KEY, LATE_TRANSACTION, ONLINE_KEY, REALTIME_AGG, TRANSACTION_ONLINE, WINDOW_KEY,
 )
+from paystrata.operators import serving
 from paystrata.plans.tables import Warehouse, run_day, run_table
 from paystrata.session import build_session
 from paystrata.sources.keyed import KeyedLog
@@ -36,6 +39,20 @@ def _publisher(args):
     return lambda messages, batch_id: write_folder(messages, f"{args.topics}/{CLEANED}", batch_id)
 
 
+def _online(spark, lake: str) -> KeyedLog:
+    return KeyedLog(spark, f"{lake}/keyed/dwd_transaction_online", TRANSACTION_ONLINE, ONLINE_KEY, "customer_id")
+
+
+def serve(spark, args) -> list[str]:
+    """The answer as JSON lines: at most ``limit`` transactions, or one customer."""
+    online = _online(spark, args.lake).latest()
+    if args.command == "recent":
+        columns = online.columns if args.all_columns else None
+        return serving.recent_transactions(online, args.customer, args.limit, columns).toJSON().collect()
+    profiles = Lake(spark, args.lake).read("ads_customer_profile")
+    return serving.full_profile(online, profiles, args.customer).toJSON().collect()
+
+
 def start_stream(spark, args):
     keyed, checkpoint = f"{args.lake}/keyed", f"{args.lake}/checkpoints/{args.job}"
     trigger = jobs.BACKLOG if args.backlog else jobs.EVERY
@@ -43,9 +60,8 @@ def start_stream(spark, args):
         late = KeyedLog(spark, f"{keyed}/late_transaction", LATE_TRANSACTION, LATE_KEY)
         return jobs.start_late_job(_topic(spark, args, RAW), late, checkpoint, trigger)
     if args.job == "clean":
-        online = KeyedLog(spark, f"{keyed}/dwd_transaction_online", TRANSACTION_ONLINE, ONLINE_KEY, "customer_id")
-        return jobs.start_clean_job(_topic(spark, args, RAW), Lake(spark, args.lake), online, _publisher(args),
-                                    checkpoint, trigger)
+        return jobs.start_clean_job(_topic(spark, args, RAW), Lake(spark, args.lake), _online(spark, args.lake),
+                                    _publisher(args), checkpoint, trigger)
     sink = KeyedLog(spark, f"{keyed}/dws_realtime_agg", REALTIME_AGG, WINDOW_KEY, "customer_id")
     return jobs.start_window_job(parse_messages(_topic(spark, args, CLEANED), TRANSACTION_ONLINE), sink, checkpoint,
                                  trigger)
@@ -67,7 +83,13 @@ def parser() -> argparse.ArgumentParser:
     where.add_argument("--topics", help="folder of message files")
     where.add_argument("--kafka", help="bootstrap servers")
     stream.add_argument("--backlog", action="store_true", help="work off what is there and stop")
-    for command in (table, day, stream):
+    recent = commands.add_parser("recent")
+    recent.add_argument("--customer")
+    recent.add_argument("--limit", type=int, default=20)
+    recent.add_argument("--all-columns", action="store_true", help="with the enriched attributes")
+    profile = commands.add_parser("profile")
+    profile.add_argument("customer")
+    for command in (table, day, stream, recent, profile):
         command.add_argument("--lake", required=True)
     return main
 
@@ -78,6 +100,9 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "stream":
         start_stream(spark, args).awaitTermination()
         return
+    if args.command in ("recent", "profile"):
+        print("\n".join(serve(spark, args)))
+        return
     house = Warehouse(Lake(spark, args.lake), {b: f"{args.sources}/{b}" for b in ("master", "transaction")})
     if args.command == "table":
         print(json.dumps(run_table(house, args.name, args.day)))

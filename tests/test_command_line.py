@@ -35,3 +35,14 @@ def test_day_and_streams(spark, tmp_path, capsys):
     windows = KeyedLog(spark, f"{lake}/keyed/dws_realtime_agg", REALTIME_AGG, WINDOW_KEY)
     assert windows.latest().filter("window_type = 'TUMBLE'").count() == 5
     assert KeyedLog(spark, f"{lake}/keyed/late_transaction", LATE_TRANSACTION, LATE_KEY).latest().count() == 0
+
+    capsys.readouterr()
+    main(["recent", "--lake", lake, "--customer", "C1", "--limit", "2"])
+    found = [json.loads(line) for line in capsys.readouterr().out.splitlines()]
+    assert [row["transaction_id"] for row in found] == ["T29", "T28"] and len(found[0]) == 8
+    main(["profile", "C1", "--lake", lake])
+    [profile] = [json.loads(line) for line in capsys.readouterr().out.splitlines()]
+    assert profile["realtime_stats"][0]["transaction_count"] == 29
+    assert profile["offline_profile"]["txn_count"] == 29
+    main(["profile", "C404", "--lake", lake])
+    assert json.loads(capsys.readouterr().out) == {"customer_id": "C404", "realtime_stats": []}
