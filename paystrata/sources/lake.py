@@ -63,7 +63,7 @@ class Lake:
             for old in [n for n in self._versions(table) if n <= number][:-keep]:
                 self._folder.delete(f"{table}/v={old}")
             for name in self._folder.children(current):
-                if name.startswith(".stage-"):
+                if name.startswith((".stage-", ".replaced-")):
                     self._folder.delete(f"{current}/{name}")
 
     # ---- reads
@@ -130,7 +130,8 @@ class Lake:
         current = self._current(table)
         if current is None:
             current = f"{table}/v={max(self._versions(table), default=0) + 1}"
-        stage = f"{current}/.stage-{uuid.uuid4().hex}"
+        run = uuid.uuid4().hex
+        stage, replaced = f"{current}/.stage-{run}", f"{current}/.replaced-{run}"
         self._write(rows.drop("dt"), table, stage, by_day=False)
         written = self.spark.read.parquet(f"{self.root}/{stage}")
         try:
@@ -139,9 +140,11 @@ class Lake:
             self._folder.delete(stage)
             raise
         target = f"{current}/dt={day.isoformat()}"
-        self._folder.delete(target)
+        if self._folder.exists(target):     # two renames apart; the old day is deleted only once the new one is there
+            self._folder.rename(target, replaced)
         self._folder.rename(stage, target)
         self._folder.write_text(f"{current}/_PUBLISHED", "")
+        self._folder.delete(replaced)
         return found
 
     def append(self, df: DataFrame, table: str) -> None:

@@ -31,12 +31,13 @@ def lake(spark, tmp_path):
     return Lake(spark, str(tmp_path / "lake"))
 
 
-def test_replacing_a_day_twice_leaves_one_copy(spark, lake):
+def test_replacing_a_day_twice_leaves_one_copy(spark, lake, tmp_path):
     lake.replace_table(ods(spark, [("T1", 1, "C1", "M1", 3), ("T2", 2, "C1", "M1", 4)]), "ods_transaction")
     day = ods(spark, [("T3", 3, "C1", "M1", 4), ("T4", 4, "C1", "M1", 4)])
     for _ in range(2):
         lake.replace_day(day, "ods_transaction", DAY)
     assert {r.transaction_id for r in lake.read("ods_transaction").collect()} == {"T1", "T3", "T4"}
+    assert not [p for p in (tmp_path / "lake").rglob(".*") if p.is_dir()]       # nothing is left beside the day
 
 
 def test_a_day_without_rows_is_cleared(spark, lake):
