@@ -21,6 +21,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"))
 
 
+def op2_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents that share three quarters of their five-word shingles."""
+    from paystrata.llm.shingle_join import shingle_join
+    return shingle_join(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of each document under the word-based vocabulary."""
     from paystrata.llm.token_counts import count_tokens
@@ -28,6 +34,31 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op9_token_counts)}
+    f.__name__: f for f in (op1_packing, op2_shingle_join, op9_token_counts)}
+
+_SHINGLE_JOIN_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+    FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+edges AS (
+    SELECT p.a, p.b FROM pairs p JOIN sizes x ON x.doc_id = p.a JOIN sizes y ON y.doc_id = p.b
+    WHERE 100 * p.o >= 75 * (x.n + y.n - p.o)),
+reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT r.a, e.b FROM reach r JOIN edges e ON e.a = r.b)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
+"""
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_shingle_join": _SHINGLE_JOIN_SQL}
