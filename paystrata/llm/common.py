@@ -11,8 +11,10 @@ import zipfile
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paystrata.session import scratch_dir
 
@@ -82,3 +84,39 @@ def text_blocks(column, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np
         last = min(max(last, first + 1), n)
         yield first, last, data[ends[first]:ends[last]], ends[first:last + 1] - ends[first]
         first = last
+
+
+def annotate(df: DataFrame, text_col: str, compute, fields: list[T.StructField]) -> DataFrame:
+    """``df`` with columns computed from one text column, in one pass.
+
+    ``compute`` is called once per task and returns a function from (bytes, offsets) of a block of texts to one array
+    or list per field. The new columns must not be named like one of ``df``.
+    """
+    ship(df.sparkSession)
+    taken = {f.name for f in fields} & set(df.columns)
+    if taken:
+        raise ValueError(f"columns {sorted(taken)} exist already")
+    schema = T.StructType([*df.schema.fields, *fields])
+    at = df.columns.index(text_col)
+    kinds = [_arrow_type(f.dataType) for f in fields]
+
+    def run(batches):
+        block = compute()
+        for batch in batches:
+            for first, last, data, offsets in text_blocks(batch.column(at)):
+                new = [pa.array(values, kind) for values, kind in zip(block(data, offsets), kinds)]
+                own = batch.slice(first, last - first)
+                yield pa.RecordBatch.from_arrays([*own.columns, *new], names=schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
+def _arrow_type(kind: T.DataType) -> pa.DataType:
+    simple = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
+              "string": pa.string(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()),
+              "array<bigint>": pa.list_(pa.int64())}
+    return simple[kind.simpleString()]
+
+
+def field(name: str, kind: T.DataType) -> T.StructField:
+    return T.StructField(name, kind)

@@ -60,9 +60,12 @@ def ranges(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words of all texts, and how many words come before each text (one entry more than texts)."""
-    solid = ~IS_SPACE[data]
+def word_bounds(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of all texts, and how many words come before each text (one entry more than texts).
+
+    ``gap`` tells for each byte whether it parts words.
+    """
+    solid = ~gap[data]
     opens = solid.copy()
     opens[1:] &= ~solid[:-1]
     closes = solid.copy()

@@ -27,14 +27,60 @@ def op2_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learned from two of three folds."""
+    from paystrata.llm.common import fold
+    from paystrata.llm.language_id import identify, learned, trained_rows
+    docs = documents(spark, sf_dir)
+    found = identify(docs, learned(docs, trained_rows()))
+    return found.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    from paystrata.llm.secret_scan import scan
+    return scan(documents(spark, sf_dir)).drop("n_entropy")
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of all documents."""
+    from paystrata.llm.quality_rules import quality
+    return quality(documents(spark, sf_dir))
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    from paystrata.llm.fingerprints import compare
+    return compare(documents(spark, sf_dir))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels of four of five folds."""
+    from paystrata.llm.toxicity import held_out, learned, score
+    docs = documents(spark, sf_dir)
+    model = learned(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~held_out())
+    return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of each document under the word-based vocabulary."""
     from paystrata.llm.token_counts import count_tokens
     return count_tokens(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
 
 
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of each document, and where it goes when one of the 64 shards is lost."""
+    from paystrata.llm.sharding import place
+    shards = [f"shard-{k:02d}" for k in range(64)]
+    placed = place(documents(spark, sf_dir).select("doc_id"), shards)
+    return place(placed, shards[:-1], slot_name="slot_after", shard_name="shard_after").drop("slot_after")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_shingle_join, op9_token_counts)}
+    f.__name__: f for f in (
+        op1_packing, op2_shingle_join, op3_language_id, op4_secret_scan, op5_quality_rules, op7_fingerprints,
+        op8_toxicity, op9_token_counts, op10_sharding)}
 
 _SHINGLE_JOIN_SQL = r"""
 WITH RECURSIVE words AS (
