@@ -48,6 +48,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir))
 
 
+def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents under the piece vocabulary, as digests, and whether they decode to the text."""
+    from paystrata.llm.sentence_pieces import digests, load
+    return digests(documents(spark, sf_dir), load(vocabulary("piece_bpe_32k.model")))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     from paystrata.llm.fingerprints import compare
@@ -79,7 +85,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_packing, op2_shingle_join, op3_language_id, op4_secret_scan, op5_quality_rules, op7_fingerprints,
+        op1_packing, op2_shingle_join, op3_language_id, op4_secret_scan, op5_quality_rules, op6_sentence_pieces, op7_fingerprints,
         op8_toxicity, op9_token_counts, op10_sharding)}
 
 _SHINGLE_JOIN_SQL = r"""
