@@ -113,4 +113,92 @@ FROM documents d LEFT JOIN sizes s USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op2_shingle_join": _SHINGLE_JOIN_SQL}
+_SECRET_SCAN_SQL = r"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+patterns AS (
+    SELECT * FROM (VALUES
+        (0, 'assign', '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'),
+        (1, 'access', 'AKIA[A-Z0-9]+'), (2, 'hex', '[0-9a-f]{32,}'),
+        (3, 'entropy_base64', '[A-Za-z0-9+/_=-]{24,}'), (4, 'entropy_hex', '[0-9A-Fa-f]{24,}')) AS t(rank, kind, p)),
+raw AS (
+    SELECT doc_id, rank, kind, text, regexp_extract_all(text, p) AS m, regexp_extract_all(text, p, 2 * (rank = 0)::INT) AS v,
+        regexp_split_to_array(text, p) AS g
+    FROM docs, patterns WHERE regexp_matches(text, p)),
+numbered AS (
+    SELECT doc_id, rank, kind, unnest(range(1, len(m) + 1)) AS i, m, v, g FROM raw),
+found AS (
+    SELECT doc_id, rank, kind, m[i] AS m, v[i] AS v,
+        CAST(list_sum(list_transform(g[1:i], lambda x: length(x)))
+            + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS a
+    FROM numbered),
+base AS (
+    SELECT doc_id, rank, kind, a, a + length(m) AS z FROM found
+    WHERE rank < 3 AND (rank <> 0 OR length(v) >= 8) AND (rank <> 1 OR length(m) >= 16)),
+candidates AS (
+    SELECT doc_id, rank, kind, a, m, unnest(range(0, length(m) - 23)) AS k,
+        CASE rank WHEN 3 THEN 3.9 ELSE 3.0 END AS bits
+    FROM found
+    WHERE rank >= 3 AND regexp_matches(m, '[0-9]')
+      AND CASE rank WHEN 3 THEN regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]') ELSE regexp_matches(m, '[A-Fa-f]') END
+      AND NOT regexp_matches(m, '(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}|sha(1|224|256|384|512)-|0123456789abcdef|abcdefghijklmnop|example|placeholder|changeme|test_?key|your_?(key|token|secret)')
+      AND NOT list_bool_or([regexp_matches(lower(m), chr(c::INT) || '{8,}') FOR c IN
+          list_concat(range(48, 58), range(97, 123), [45, 61, 95])])),
+windows AS (
+    SELECT doc_id, rank, kind, a + k AS a FROM candidates
+    WHERE list_entropy(string_split(substr(m, k + 1, 24), '')) >= bits - 1e-9),
+starts AS (
+    SELECT *, CASE WHEN a - lag(a) OVER w <= 24 THEN 0 ELSE 1 END AS new FROM windows WINDOW w AS (PARTITION BY doc_id, rank ORDER BY a)),
+runs AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, rank ORDER BY a) AS run FROM starts),
+more AS (SELECT doc_id, rank, kind, min(a) AS a, max(a) + 24 AS z FROM runs GROUP BY doc_id, rank, kind, run),
+every AS (
+    SELECT * FROM base UNION ALL
+    SELECT * FROM more e WHERE NOT EXISTS (FROM base b WHERE b.doc_id = e.doc_id AND b.a < e.z AND e.a < b.z)),
+joined AS (
+    SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access,
+        count(*) FILTER (rank = 2) AS n_hex,
+        coalesce(string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, rank) FILTER (rank < 3), '') AS b,
+        string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, rank) AS spans
+    FROM every GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+    sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN joined USING (doc_id)
+"""
+
+_QUALITY_RULES_SQL = r"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs),
+measured AS (
+    SELECT doc_id, line, list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM lines),
+judged AS (
+    SELECT doc_id, line, len(w) AS n, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS solid,
+        length(line) - length(regexp_replace(line, '[!#$%&()*+/:;<=>?@\[\\\]^_`{|}~]', '', 'g')) AS marks,
+        regexp_matches(line, '[.,;:!?]') AS sentence,
+        len(list_filter(w, lambda x: list_contains(['|', '>', '/', '-', '–', '»', '•', '·'], x))) AS separators,
+        regexp_matches(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            'all rights reserved|licensed under|released under the|terms of use|terms of service|privacy policy|cookie policy|accept cookies|enable javascript|lorem ipsum|click here|read more|sign up|log in|subscribe to|share this|back to top|powered by') AS phrase
+    FROM measured WHERE len(w) > 0),
+by_line AS (
+    SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines,
+        sum(solid) FILTER (100 * marks > 20 * solid OR n >= 50 AND NOT sentence
+            OR separators >= 2 AND 5 * separators >= n OR phrase AND n <= 20) AS lost
+    FROM judged GROUP BY doc_id),
+words AS (
+    SELECT doc_id, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM docs),
+grams AS (
+    SELECT doc_id, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM words)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS k FROM grams) WHERE k > 1),
+repeated AS (
+    SELECT doc_id, count(DISTINCT i + o) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS o) GROUP BY doc_id),
+counted AS (
+    SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+        length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+        coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, coalesce(lost, 0)::BIGINT AS lost_chars
+    FROM words LEFT JOIN by_line USING (doc_id) LEFT JOIN repeated r USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * lost_chars <= 50 * word_chars AS kept
+FROM counted
+"""
+
+ORACLE: dict[str, str] = {"op2_shingle_join": _SHINGLE_JOIN_SQL, "op4_secret_scan": _SECRET_SCAN_SQL,
+                          "op5_quality_rules": _QUALITY_RULES_SQL}
