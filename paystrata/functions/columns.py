@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from paystrata.model import LARGE_AMOUNT
+from paystrata.model import LARGE_AMOUNT, MONEY
 
 
 def ratio(numerator: str, denominator: str, places: int) -> Column:
-    """``numerator / denominator`` rounded half up, as DOUBLE; NULL where the denominator is 0."""
-    return F.round(F.try_divide(F.col(numerator), F.col(denominator)), places).cast("double")
+    """``numerator / denominator`` rounded half up, as DOUBLE; NULL where the denominator is 0.
+
+    Both sides are cast to narrow decimals first: the quotient of wide ones keeps so few places that it would be
+    rounded twice.
+    """
+    top, bottom = F.col(numerator).cast(MONEY), F.col(denominator).cast(MONEY)
+    return F.round(F.try_divide(top, bottom), places).cast("double")
 
 
 def mean(column: str) -> Column:

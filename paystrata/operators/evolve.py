@@ -36,7 +36,7 @@ def number_new(dim: DataFrame, adds: DataFrame, pk: str) -> DataFrame:
     their bucket; no task sees all of them. The order depends on the data alone, so a repeated run hands out the
     same ids.
     """
-    bucketed = adds.withColumn("_bucket", F.substring(F.md5(F.col("ref").cast("string")), 1, 3))
+    bucketed = adds.withColumn("_bucket", F.substring(F.md5(F.coalesce(F.col("ref").cast("string"), F.lit(""))), 1, 3))
     before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = (bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("rows_here"))
                .select("_bucket", F.coalesce(F.sum("rows_here").over(before), F.lit(0)).alias("_before")))
@@ -83,15 +83,16 @@ def _require_valid(dim: DataFrame, changes: DataFrame, pk: str, what: str) -> No
                            f"{found.doubled} occur more than once")
 
 
-def _require_unique(adds: DataFrame) -> None:
-    doubled = adds.groupBy("ref").count().filter("count > 1").count()
-    if doubled:
-        raise QualityError(f"adds: {doubled} values of ref occur more than once")
+def require_refs(adds: DataFrame) -> None:
+    found = adds.groupBy("ref").count().agg(
+        F.count_if(F.col("ref").isNull()).alias("missing"), F.count_if(F.col("count") > 1).alias("doubled")).first()
+    if found.missing or found.doubled:
+        raise QualityError(f"adds: ref is missing, or {found.doubled} of its values occur more than once")
 
 
 def add_rows(dim: DataFrame, adds: DataFrame, pk: str) -> DataFrame:
     """Append new rows, ACTIVE unless they say otherwise, under the next ids."""
-    _require_unique(adds)
+    require_refs(adds)
     numbered = number_new(dim, adds, pk)
     if "status" in dim.columns and "status" not in numbered.columns:
         numbered = numbered.withColumn("status", F.lit("ACTIVE"))

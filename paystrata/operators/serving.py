@@ -14,7 +14,7 @@ PROFILE_COLUMNS = ["dt", "customer_id", "txn_count", "total_amount", "avg_ticket
 
 
 def _of_customer(df: DataFrame, customer_id: str | None) -> DataFrame:
-    return df.filter(F.col("customer_id") == customer_id) if customer_id else df
+    return df.filter(F.col("customer_id") == customer_id) if customer_id is not None else df
 
 
 def recent_transactions(online: DataFrame, customer_id: str | None = None, limit: int = 20,
@@ -45,13 +45,15 @@ def full_profile(online: DataFrame, ads: DataFrame, customer_id: str | None = No
     Both inputs are aggregated to customers before they meet, so the join sees one row per customer and the array
     has one entry per transaction type. Asking for one unknown customer gives an empty list and no profile.
     """
+    if customer_id == "":
+        raise ValueError("a customer id has at least one character")
     stats = (customer_stats(online, customer_id).groupBy("customer_id").agg(F.sort_array(F.collect_list(F.struct(
         "transaction_type", "amount_sum", "transaction_count"))).alias("realtime_stats")))
     profile = latest_profile(ads, customer_id)
     profile = profile.select("customer_id", F.struct(
         *[name for name in PROFILE_COLUMNS if name != "customer_id"]).alias("offline_profile"))
     merged = stats.join(profile, "customer_id", "full_outer")
-    if customer_id:
+    if customer_id is not None:
         asked = online.sparkSession.createDataFrame([(customer_id,)], "customer_id string")
         merged = asked.join(merged, "customer_id", "left")
     nothing = F.array().cast(stats.schema["realtime_stats"].dataType)

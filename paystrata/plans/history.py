@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paystrata.functions.days import parse_day
 from paystrata.model import TABLES
-from paystrata.operators.evolve import Changes, evolve, number_new
+from paystrata.operators.evolve import Changes, evolve, number_new, require_refs
 from paystrata.operators.quality import QualityError
 from paystrata.operators.staging import with_status
 from paystrata.sources.files import Folder
@@ -29,25 +29,28 @@ class DimensionHistory:
                 if name.startswith("dt=") and self._folder.exists(f"{name}/_COMPLETE")]
 
     def snapshot(self, day: str) -> None:
+        day = parse_day(day).isoformat()
         for table in DIMENSIONS:
             if self.lake.exists(table):
                 self.lake.read(table).write.mode("overwrite").parquet(f"{self._root}/dt={day}/{table}")
         self._folder.write_text(f"dt={day}/_COMPLETE", "")
 
     def restore(self, day: str) -> None:
+        day = parse_day(day).isoformat()
         for table in DIMENSIONS:
             if self._folder.exists(f"dt={day}/{table}"):
                 saved = self.lake.spark.read.schema(TABLES[table]).parquet(f"{self._root}/dt={day}/{table}")
                 self.lake.replace_table(saved, table)
 
     def guard_backfill(self, day: str) -> None:
+        day = parse_day(day).isoformat()
         newer = [known for known in self.days() if known > day]
         if newer:
             raise QualityError(f"snapshots newer than {day} exist ({', '.join(newer)}): no back-fill")
 
     def base_for(self, day: str) -> None:
         """Put the dimensions into the state they had before ``day``: restore on a re-run, else snapshot."""
-        parse_day(day)
+        day = parse_day(day).isoformat()
         if day in self.days():
             self.restore(day)
         else:
@@ -60,10 +63,12 @@ class DimensionHistory:
 
         ``new_accounts`` belong to new customers and name them by ``customer_ref``, the ``ref`` of the added row.
         """
+        day = parse_day(day).isoformat()
         self.base_for(day)
         before = with_status(self.lake.read("dim_customer"))
         if customers:
             if new_accounts is not None:
+                require_refs(new_accounts)
                 owners = number_new(before, customers.adds, "customer_id").select(
                     F.col("ref").alias("customer_ref"), "customer_id")
                 known = self.lake.read("dim_account")

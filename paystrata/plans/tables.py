@@ -32,9 +32,9 @@ UPSTREAM = {
 
 @dataclass
 class Warehouse:
-    """A lake of tables and the folders of its source objects (``master`` and ``transaction``)."""
+    """A lake of tables and where its source objects are (``master`` and ``transaction``): folders, or lakes."""
     lake: Lake
-    sources: dict[str, str]
+    sources: dict[str, str | Lake]
 
     @property
     def spark(self):
@@ -127,6 +127,9 @@ _JOBS = {
 }
 
 
-def run_day(house: Warehouse, day: str) -> dict[str, dict[str, int]]:
-    """All tables of one day, layer by layer; running it again changes nothing."""
-    return {name: run_table(house, name, day) for layer in LAYERS for name in layer}
+def run_day(house: Warehouse, day: str, grace_seconds: float = 86_400) -> dict[str, dict[str, int]]:
+    """All tables of one day, layer by layer, then the clean-up; running it again changes nothing."""
+    done = {name: run_table(house, name, day) for layer in LAYERS for name in layer}
+    for name in done:
+        house.lake.drop_old_versions(name, grace_seconds=grace_seconds)
+    return done

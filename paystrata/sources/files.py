@@ -22,17 +22,13 @@ class Folder:
             return []
         return sorted(status.getPath().getName() for status in self._fs.listStatus(self._path(name)))
 
-    def size(self, name: str = "") -> int:
-        """Bytes in a file or below a folder."""
-        return self._fs.getContentSummary(self._path(name)).getLength()
+    def changed(self, name: str) -> float:
+        """When a file or folder was last changed, in seconds since 1970."""
+        return self._fs.getFileStatus(self._path(name)).getModificationTime() / 1000
 
     def delete(self, name: str) -> None:
         self._fs.delete(self._path(name), True)
 
-    def rename(self, old: str, new: str) -> None:
-        if not self._fs.rename(self._path(old), self._path(new)):
-            raise OSError(f"could not rename {self.root}/{old} to {new}")
-
     def write_text(self, name: str, text: str) -> None:
         stream = self._fs.create(self._path(name), True)
         try:

@@ -126,3 +126,13 @@ def test_lookup_tells_missing_keys_from_empty_fields(spark, tmp_path, customers)
     doubled = to_lookup(customers.unionAll(customers), "customer_id", "dim:customer:")
     with pytest.raises(QualityError):
         verify_lookup(doubled, "dim:customer:", customers.unionAll(customers))
+
+
+def test_an_add_without_a_reference_is_refused(spark):
+    known = spark.createDataFrame([("C10001", "V1", "x", None, "ACTIVE")],
+                                  "customer_id string, level string, region string, register_time timestamp, status string")
+    adds = spark.createDataFrame([("a", "V1", "x", None), (None, "V2", "y", None)],
+                                 "ref string, level string, region string, register_time timestamp")
+    with pytest.raises(QualityError, match="ref is missing"):
+        evolve(known, "customer_id", Changes(adds=adds))
+    assert number_new(known, adds, "customer_id").count() == 2      # and numbering alone loses none

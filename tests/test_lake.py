@@ -37,7 +37,9 @@ def test_replacing_a_day_twice_leaves_one_copy(spark, lake, tmp_path):
     for _ in range(2):
         lake.replace_day(day, "ods_transaction", DAY)
     assert {r.transaction_id for r in lake.read("ods_transaction").collect()} == {"T1", "T3", "T4"}
-    assert not [p for p in (tmp_path / "lake").rglob(".*") if p.is_dir()]       # nothing is left beside the day
+    lake.drop_old_versions("ods_transaction", keep=1)
+    assert lake.read("ods_transaction").count() == 3
+    assert len(list((tmp_path / "lake").rglob("dt=2026-09-04"))) == 1       # nothing is left beside the day
 
 
 def test_a_day_without_rows_is_cleared(spark, lake):
@@ -80,6 +82,70 @@ def test_versions_append_and_unknown_tables(spark, lake):
         lake.read("dim_customer")
 
 
+def test_a_write_that_breaks_off_changes_nothing(spark, lake, monkeypatch):
+    lake.replace_table(ods(spark, [("T1", 1, "C1", "M1", 3), ("T2", 2, "C1", "M1", 4)]), "ods_transaction")
+    new = ods(spark, [("T3", 3, "C1", "M1", 4)])
+
+    def broken(*_, **__):
+        raise OSError("broken off")
+
+    for step in ("_write", "_load", "_publish"):
+        with monkeypatch.context() as patch:
+            patch.setattr(lake, step, broken)
+            with pytest.raises(OSError):
+                lake.replace_day(new, "ods_transaction", DAY)
+        lake.drop_old_versions("ods_transaction", keep=1)
+        assert {r.transaction_id for r in lake.read("ods_transaction").collect()} == {"T1", "T2"}
+    # a manifest that was not finished is none
+    lake._folder.write_text("ods_transaction/_manifest/99", "w=1/dt=2026-09-03")
+    assert {r.transaction_id for r in lake.read("ods_transaction").collect()} == {"T1", "T2"}
+    lake.replace_day(new, "ods_transaction", DAY)
+    lake.drop_old_versions("ods_transaction", keep=1)
+    assert {r.transaction_id for r in lake.read("ods_transaction").collect()} == {"T1", "T3"}
+
+
+def test_readers_keep_their_files_and_young_folders_stay(spark, lake):
+    lake.replace_table(ods(spark, [("T1", 1, "C1", "M1", 4)]), "ods_transaction")
+    reader = lake.read("ods_transaction")
+    lake.replace_day(ods(spark, [("T2", 1, "C1", "M1", 4)]), "ods_transaction", DAY)
+    lake.drop_old_versions("ods_transaction", keep=1, grace_seconds=3600)
+    assert [r.transaction_id for r in reader.collect()] == ["T1"]
+    assert [r.transaction_id for r in lake.read("ods_transaction").collect()] == ["T2"]
+
+
+def test_an_empty_table_by_day_can_be_read(spark, lake):
+    lake.replace_table(ods(spark, []), "ods_transaction")
+    assert lake.exists("ods_transaction") and lake.read("ods_transaction").count() == 0
+
+
+def test_master_files_of_different_age(spark, tmp_path):
+    """Old files have no status and the register time as text; new ones may hold deleted customers."""
+    path = f"{tmp_path}/master/dim_customer.parquet"
+    spark.createDataFrame([("C1", "V1", "x", "2025-01-01 00:00:00")],
+                          ["customer_id", "level", "region", "register_time"]).coalesce(1).write.parquet(path)
+    spark.createDataFrame([("C2", "V2", "x", "2025-01-01 00:00:00", "DELETED")],
+                          ["customer_id", "level", "region", "register_time", "status"]).coalesce(1).write.mode(
+        "append").parquet(path)
+    house = Warehouse(Lake(spark, str(tmp_path / "lake")), {"master": str(tmp_path / "master")})
+    run_table(house, "ods_customer")
+    assert {(r.customer_id, r.status) for r in house.lake.read("ods_customer").collect()} == {
+        ("C1", "ACTIVE"), ("C2", "DELETED")}
+
+
+def test_a_lake_of_facts_is_a_source(spark, tmp_path):
+    facts = Lake(spark, str(tmp_path / "facts"))
+    house = Warehouse(Lake(spark, str(tmp_path / "lake")), {"transaction": facts})
+    facts.append(ods(spark, [("T1", 1, "C1", "M1", 3), ("T2", 2, "C1", "M1", 4)]), "fact_transaction")
+    facts.append(ods(spark, [("T3", 3, "C1", "M1", 4)]), "fact_transaction")
+    run_table(house, "ods_transaction", "2026-09-04")
+    assert {r.transaction_id for r in house.lake.read("ods_transaction").collect()} == {"T2", "T3"}
+    facts.replace_day(ods(spark, [("T4", 4, "C1", "M1", 4)]), "fact_transaction", DAY)
+    run_table(house, "ods_transaction", "2026-09-04")
+    assert {r.transaction_id for r in house.lake.read("ods_transaction").collect()} == {"T4"}
+    day = scan_source(spark, house.sources, "transaction", "fact_transaction", "2026-09-04")
+    assert "PartitionFilters: [isnotnull(dt" in day._jdf.queryExecution().executedPlan().toString()
+
+
 def test_day_reads_touch_only_their_folders(spark, lake):
     lake.replace_table(ods(spark, [(f"T{d}", 1, "C1", "M1", d) for d in range(1, 9)]), "ods_transaction")
     week = lake.read_days("ods_transaction", "2026-09-08", days=7)
