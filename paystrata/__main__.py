@@ -6,6 +6,7 @@
     python -m paystrata stream windows --lake /data/lake --kafka broker:9092
     python -m paystrata recent --lake /data/lake --customer C17 --limit 20
     python -m paystrata profile C17 --lake /data/lake
+    python -m paystrata compact --lake /data/lake
 """
 
 from __future__ import annotations
@@ -13,8 +14,10 @@ from __future__ import annotations
 import argparse
 import json
 
+from pyspark.sql import functions as F
+
 from paystrata.model import (
-    LATE_KEY, LATE_TRANSACTION, ONLINE_KEY, REALTIME_AGG, TRANSACTION_ONLINE, WINDOW_KEY,
+    LATE_KEY, LATE_TRANSACTION, ONLINE_KEY, REALTIME_AGG, TABLES, TRANSACTION_ONLINE, WINDOW_KEY,
 )
 from paystrata.operators import serving
 from paystrata.plans.tables import Warehouse, run_day, run_table
@@ -25,6 +28,13 @@ from paystrata.sources.topics import folder_topic, kafka_topic, parse_messages,
 from paystrata.streaming import jobs
 
 RAW, CLEANED = "transaction", "dwd_transaction"
+MOST_RECENT = 10_000
+
+
+def _logs(spark, lake: str) -> list[KeyedLog]:
+    keyed = f"{lake}/keyed"
+    return [_online(spark, lake), KeyedLog(spark, f"{keyed}/late_transaction", LATE_TRANSACTION, LATE_KEY),
+            KeyedLog(spark, f"{keyed}/dws_realtime_agg", REALTIME_AGG, WINDOW_KEY, "customer_id")]
 
 
 def _topic(spark, args, name: str):
@@ -45,10 +55,15 @@ def _online(spark, lake: str) -> KeyedLog:
 
 def serve(spark, args) -> list[str]:
     """The answer as JSON lines: at most ``limit`` transactions, or one customer."""
-    online = _online(spark, args.lake).latest()
+    log = _online(spark, args.lake)
     if args.command == "recent":
-        columns = online.columns if args.all_columns else None
-        return serving.recent_transactions(online, args.customer, args.limit, columns).toJSON().collect()
+        if not 1 <= args.limit <= MOST_RECENT:
+            raise ValueError(f"limit must be from 1 to {MOST_RECENT}")
+        of_customer = None if args.customer is None else F.col("customer_id") == args.customer
+        newest = log.newest("event_time", args.limit, of_customer)
+        columns = newest.columns if args.all_columns else None
+        return serving.recent_transactions(newest, args.customer, args.limit, columns).toJSON().collect()
+    online = log.latest()
     profiles = Lake(spark, args.lake).read("ads_customer_profile")
     return serving.full_profile(online, profiles, args.customer).toJSON().collect()
 
@@ -89,7 +104,9 @@ def parser() -> argparse.ArgumentParser:
     recent.add_argument("--all-columns", action="store_true", help="with the enriched attributes")
     profile = commands.add_parser("profile")
     profile.add_argument("customer")
-    for command in (table, day, stream, recent, profile):
+    compact = commands.add_parser("compact", help="fold the keyed logs and drop old versions of all tables")
+    compact.add_argument("--grace", type=float, default=86_400, help="seconds that unused folders stay")
+    for command in (table, day, stream, recent, profile, compact):
         command.add_argument("--lake", required=True)
     return main
 
@@ -100,6 +117,13 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "stream":
         start_stream(spark, args).awaitTermination()
         return
+    if args.command == "compact":
+        for log in _logs(spark, args.lake):
+            log.compact()
+        lake = Lake(spark, args.lake)
+        for name in TABLES:
+            lake.drop_old_versions(name, grace_seconds=args.grace)
+        return
     if args.command in ("recent", "profile"):
         print("\n".join(serve(spark, args)))
         return

@@ -16,8 +16,9 @@ _TX = """
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 _DIRTY = """
   SELECT CASE WHEN l_quantity <> 50 THEN transaction_id END AS transaction_id,
-         CASE WHEN l_linenumber = 7 THEN -amount ELSE amount END AS amount, currency, customer_id, account_id,
-         merchant_id, transaction_type, CASE WHEN l_tax <> 0.08 THEN event_time END AS event_time FROM tx"""
+         CASE WHEN l_linenumber = 7 THEN -amount ELSE amount END AS amount,
+         CASE WHEN l_quantity = 13 THEN 'GBP' ELSE currency END AS currency, customer_id, account_id, merchant_id,
+         CASE WHEN l_quantity = 17 THEN 'CHARGEBACK' ELSE transaction_type END AS transaction_type, CASE WHEN l_tax <> 0.08 THEN event_time END AS event_time FROM tx"""
 _CLEAN = """
   SELECT * FROM dirty WHERE transaction_id IS NOT NULL AND amount > 0 AND event_time IS NOT NULL"""
 _CUST = """
@@ -173,18 +174,34 @@ _EVOLVED_CUSTOMERS = """
          level, region, register_time, 'ACTIVE'
   FROM cust WHERE n % 20 = 0"""
 _EVOLVED_MERCHANTS = """
-  SELECT merchant_id, region, CASE WHEN n % 10 = 5 THEN 'DELETED' ELSE status END AS status FROM merch
+  SELECT merchant_id, category, region, CASE WHEN n % 10 = 5 THEN 'DELETED' ELSE status END AS status,
+         CASE WHEN status = 'ACTIVE' AND n % 10 = 3 THEN 'HIGH' ELSE risk_level END AS risk_level FROM merch
   UNION ALL
   SELECT 'M' || ((SELECT max(n) FROM merch)
                  + row_number() OVER (ORDER BY substr(md5('new-' || merchant_id), 1, 3), 'new-' || merchant_id)),
-         region, 'ACTIVE'
+         category, region, 'ACTIVE', risk_level
   FROM merch"""
+_ACCOUNTS = """
+  SELECT n, slot, 'A' || n || '-' || slot AS account_id, customer_id,
+         CASE slot % 3 WHEN 0 THEN 'SAVINGS' WHEN 1 THEN 'CHECKING' ELSE 'CREDIT' END AS account_type,
+         register_time + to_hours(slot + 1) AS open_time
+  FROM cust, (SELECT unnest(range(5)) AS slot)"""
+_EVOLVED_ACCOUNTS = f"""
+  SELECT account_id, account_type, open_time, customer_id FROM ({_ACCOUNTS}) WHERE n % 20 <> 0
+  UNION ALL
+  SELECT 'A' || (10000 + row_number() OVER (ORDER BY substr(md5(account_id), 1, 3), account_id)), account_type, open_time,
+         new_id
+  FROM ({_ACCOUNTS}) a JOIN (
+    SELECT customer_id, 'C' || ((SELECT max(n) FROM cust WHERE n % 20 <> 0)
+             + row_number() OVER (ORDER BY substr(md5(customer_id), 1, 3), customer_id)) AS new_id
+    FROM cust WHERE n % 20 = 0) c USING (customer_id)"""
 
 # Customers as they arrive: blank ids, missing levels and unreadable times
 _TEXT_CUSTOMERS = """
   SELECT CASE WHEN n % 50 = 7 THEN '' ELSE customer_id END AS customer_id,
-         CASE WHEN n % 50 <> 11 THEN level END AS level, region,
-         CASE WHEN n % 50 <> 13 THEN register_time END AS register_time, status FROM cust"""
+         CASE WHEN n % 50 = 17 THEN 'V9' WHEN n % 50 <> 11 THEN level END AS level, region,
+         CASE WHEN n % 50 <> 13 THEN register_time END AS register_time,
+         CASE WHEN n % 50 = 19 THEN 'GONE' ELSE status END AS status FROM cust"""
 
 
 def _measures(table: str, source: str, measures: dict[str, str]) -> str:
@@ -198,7 +215,8 @@ _QUALITY = " UNION ALL ".join([
         "row_count": "count(*)", "missing_transaction_id": "count(*) FILTER (transaction_id IS NULL)",
         "amount_not_positive": "count(*) FILTER (amount IS NULL OR amount <= 0)"}),
     _measures("dwd_transaction", "dwd", {
-        "row_count": "count(*)", "missing_transaction_id": "0 * count(*)", "amount_not_positive": "0 * count(*)"}),
+        "row_count": "count(*)", "missing_transaction_id": "count(*) FILTER (transaction_id IS NULL)",
+        "amount_not_positive": "count(*) FILTER (amount IS NULL OR amount <= 0)"}),
     _measures("dws_customer_daily", "cd", {"row_count": "count(*)",
                                            "negative_amount": "count(*) FILTER (cents < 0)"}),
     _measures("ods_customer", f"({_TEXT_CUSTOMERS})", {
@@ -307,9 +325,10 @@ FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY dt DESC) AS
 , stats AS (SELECT customer_id, transaction_type, {_money('sum(amount)')} AS amount_sum,
     count(*) AS transaction_count FROM clean GROUP BY customer_id, transaction_type),
 newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY dt DESC) AS r
-    FROM ({_PROFILE}) WHERE dt >= DATE '2026-09-15') WHERE r = 1)
+    FROM ({_PROFILE})) WHERE r = 1)
 SELECT coalesce(s.customer_id, p.customer_id) AS customer_id, transaction_type, amount_sum, transaction_count,
-  {_day('p.dt')} AS dt, {_from_cents('p.cents')} AS total_amount, p.amount_tier
+  {_day('p.dt')} AS dt, txn_count, {_from_cents('p.cents')} AS total_amount, avg_ticket_amount, refund_txn_rate,
+  has_refund, amount_tier, ma7_total_amount, ma7_txn_count, dod_amount_change
 FROM stats s FULL JOIN newest p ON s.customer_id = p.customer_id"""),
 
     "day_replace_rerun": _with(["tx"], f"""
@@ -321,20 +340,46 @@ SELECT customer_id, level, region, {_time('register_time')} AS register_time, st
 FROM ({_EVOLVED_CUSTOMERS})"""),
 
     "dim_snapshot_rerun": _with(["cust", "merch"], f"""
-SELECT customer_id AS id, region, status FROM ({_EVOLVED_CUSTOMERS})
-UNION ALL SELECT merchant_id, region, status FROM ({_EVOLVED_MERCHANTS})"""),
-
-    "active_pool": _with(["cust"], f"""
-SELECT customer_id, 'A' || n || '-' || slot AS account_id,
-  {_time('register_time + to_hours(slot + 1)')} AS open_time
-FROM cust, (SELECT unnest(range(5)) AS slot) WHERE status = 'ACTIVE'"""),
+SELECT customer_id AS id, level AS kind, region, status, {_time('register_time')} AS since, NULL AS extra
+FROM ({_EVOLVED_CUSTOMERS})
+UNION ALL SELECT merchant_id, category, region, status, NULL, risk_level FROM ({_EVOLVED_MERCHANTS})
+UNION ALL SELECT account_id, account_type, NULL, NULL, {_time('open_time')}, customer_id FROM ({_EVOLVED_ACCOUNTS})"""),
+
+    "warehouse_days": _with(["tx", "cust", "merch"], f"""
+, days AS (SELECT *, CAST(event_time AS DATE) AS dt FROM tx
+    WHERE CAST(event_time AS DATE) BETWEEN DATE '2026-09-03' AND DATE '2026-09-04'),
+by_customer AS (SELECT dt, customer_id, sum(amount) AS amount FROM days GROUP BY ALL),
+by_merchant AS (SELECT dt, merchant_id, count(*) AS n, sum(amount) AS amount FROM days GROUP BY ALL),
+totals AS (SELECT dt, sum(amount) AS amount FROM days GROUP BY dt),
+average AS (SELECT dt, {_rounded('CAST(sum(100 * amount) OVER w AS BIGINT)', '100 * count(*) OVER w', 100)} AS amount
+    FROM by_customer WINDOW w AS (PARTITION BY customer_id ORDER BY dt)),
+top AS (SELECT *, row_number() OVER (PARTITION BY dt ORDER BY amount DESC, n DESC, merchant_id) AS r FROM by_merchant)
+SELECT {_day('dt')} AS dt, count(*) AS row_count, {_money('sum(amount)')} AS amount, unnest(['ods_transaction', 'dwd_transaction'])
+  AS table_name FROM days GROUP BY dt
+UNION ALL SELECT {_day('dt')}, count(*), {_money('sum(amount)')}, 'dws_customer_daily' FROM by_customer GROUP BY dt
+UNION ALL SELECT {_day('dt')}, count(*), {_money('sum(amount)')}, 'dws_merchant_daily' FROM by_merchant GROUP BY dt
+UNION ALL SELECT {_day('dt')}, count(*), {_money('sum(CAST(amount AS DECIMAL(18,2)))')}, 'ads_customer_profile' FROM average GROUP BY dt
+UNION ALL SELECT {_day('dt')}, 1, {_money('sum(amount) OVER (ORDER BY dt)')}, 'ads_daily_report' FROM totals
+UNION ALL SELECT {_day('dt')}, count(*), {_money('sum(amount)')}, 'ads_merchant_top10' FROM top WHERE r <= 10 GROUP BY dt
+UNION ALL SELECT NULL, count(*), NULL, unnest(['dim_customer', 'lookup_customer']) FROM cust
+UNION ALL SELECT NULL, count(*), NULL, 'dim_merchant' FROM merch"""),
+
+    "active_pool": _with(["cust", "merch"], f"""
+SELECT 'account' AS kind, account_id AS id, customer_id AS owner, {_time('open_time')} AS open_time
+FROM ({_ACCOUNTS}) JOIN (SELECT customer_id FROM cust WHERE status = 'ACTIVE') USING (customer_id)
+UNION ALL SELECT 'customer', customer_id, NULL, NULL FROM cust WHERE status = 'ACTIVE'
+UNION ALL SELECT 'merchant', merchant_id, NULL, NULL FROM merch WHERE status = 'ACTIVE'"""),
 
     "contract_quarantine": _with(["dirty"], f"""
-SELECT transaction_id, customer_id, account_id, {_money('amount')} AS amount, {_time('event_time')} AS event_time,
-  CASE WHEN transaction_id IS NOT NULL AND event_time IS NOT NULL AND amount > 0 THEN 'valid' ELSE
+SELECT {_TX_COLUMNS},
+  CASE WHEN transaction_id IS NOT NULL AND event_time IS NOT NULL AND amount > 0
+      AND currency IN ('CNY', 'USD', 'EUR') AND transaction_type IN ('PAYMENT', 'REFUND') THEN 'valid' ELSE
     concat_ws('; ', CASE WHEN transaction_id IS NULL THEN 'transaction_id missing' END,
                     CASE WHEN event_time IS NULL THEN 'event_time missing' END,
-                    CASE WHEN amount <= 0 THEN 'amount not positive' END) END AS verdict FROM dirty"""),
+                    CASE WHEN amount <= 0 THEN 'amount not positive' END,
+                    CASE WHEN currency NOT IN ('CNY', 'USD', 'EUR') THEN 'currency unknown' END,
+                    CASE WHEN transaction_type NOT IN ('PAYMENT', 'REFUND') THEN 'transaction_type unknown' END) END
+    AS verdict FROM dirty"""),
 
     "quality_report": _with(["cd", "merch", "cust"], _QUALITY),
 

@@ -19,10 +19,11 @@ from paystrata.model import (
 from paystrata.operators import detail, dimensions, pools, quality, reports, rollups, serving, staging
 from paystrata.operators.evolve import Changes, evolve
 from paystrata.plans.history import DimensionHistory
+from paystrata.plans.tables import Warehouse, run_day, run_table
 from paystrata.session import configure, scratch_dir
 from paystrata.sources import samples
 from paystrata.sources.keyed import KeyedLog
-from paystrata.sources.lake import Lake
+from paystrata.sources.lake import Lake, scan_source
 from paystrata.sources.lookup import lookup, publish_lookup, to_lookup
 from paystrata.sources.topics import folder_topic, parse_messages, to_messages, write_folder
 from paystrata.streaming import jobs, windows
@@ -84,6 +85,26 @@ def _merchant_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.merchant_daily(stored(rows, "dwd"))
 
 
+def _house(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A warehouse over a lake of facts, written in two parts and with one day replaced, and over master files.
+
+    Half of the customers come in an old file without a status.
+    """
+    path = scratch_dir(spark, "house")
+    facts = Lake(spark, f"{path}/facts")
+    rows = staging.ods_transaction(samples.transactions(spark, sf_dir))
+    of_day = F.col("dt") == F.lit(DAY).cast("date")
+    facts.append(rows.filter(~of_day), "fact_transaction")
+    facts.append(rows.filter(of_day).withColumn("amount", F.lit(0).cast("decimal(18,2)")), "fact_transaction")
+    facts.replace_day(rows.filter(of_day), "fact_transaction", DAY)
+    customers, old = samples.customers(spark, sf_dir), id_number("customer_id") % 2 == 0
+    master = f"{path}/master/dim_customer.parquet"
+    customers.filter(old).drop("status").write.parquet(master)
+    customers.filter(~old).write.mode("append").parquet(master)
+    samples.merchants(spark, sf_dir).write.parquet(f"{path}/master/dim_merchant.parquet")
+    return Warehouse(Lake(spark, f"{path}/lake"), {"transaction": facts, "master": f"{path}/master"})
+
+
 # ---- batch layers
 
 @query
@@ -93,12 +114,13 @@ def ods_transaction(spark, sf_dir):
 
 @query
 def ods_day_scan(spark, sf_dir):
-    """One day of the source, then one day, seven days and month-to-date of the warehouse table."""
-    lake = Lake(spark, scratch_dir(spark, "lake"))
-    source = samples.transactions(spark, sf_dir)
-    lake.replace_table(staging.ods_transaction(source), "ods_transaction")
+    """A fact table that was appended to and had a day replaced; one day of it, and days of the table made from it."""
+    house = _house(spark, sf_dir)
+    lake = house.lake
+    run_table(house, "ods_transaction")
+    run_table(house, "ods_transaction", DAY)
     scans = {
-        "source_day": staging.ods_transaction(source.filter(F.to_date("event_time") == F.lit(DAY).cast("date"))),
+        "source_day": staging.ods_transaction(scan_source(spark, house.sources, "transaction", "fact_transaction", DAY)),
         "day": lake.read_days("ods_transaction", DAY),
         "week": lake.read_days("ods_transaction", DAY, days=7),
         "month": lake.read_month("ods_transaction", DAY),
@@ -161,7 +183,31 @@ def _online(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def recent_transactions(spark, sf_dir):
-    return serving.recent_transactions(_online(spark, sf_dir))
+    """The newest rows of a keyed table of several batches, the last of which repeats rows of the others."""
+    log = KeyedLog(spark, scratch_dir(spark, "online"), TRANSACTION, ONLINE_KEY, "customer_id", compact_every=2)
+    rows = _online(spark, sf_dir)
+    part = F.unix_seconds("event_time") % 3
+    for number in (0, 1, 2):
+        log.upsert(rows.filter(part == number), number)
+    log.upsert(rows.filter(part == 1), 3)
+    return serving.recent_transactions(log.newest("event_time", 20))
+
+
+@query
+def warehouse_days(spark, sf_dir):
+    """Two days through all jobs of the warehouse, the second one twice; rows and amounts of each table and day."""
+    house = _house(spark, sf_dir)
+    for day in ("2026-09-03", DAY, DAY):
+        run_day(house, day, grace_seconds=0)
+    measured = {"ods_transaction": "amount", "dwd_transaction": "amount", "dws_customer_daily": "total_amount",
+                "dws_merchant_daily": "total_amount", "ads_customer_profile": "ma7_total_amount",
+                "ads_daily_report": "month_total_amount", "ads_merchant_top10": "total_amount"}
+    by_day = [house.lake.read(name).groupBy("dt").agg(F.count("*").alias("row_count"), F.sum(amount).alias("amount"))
+              .withColumn("table_name", F.lit(name)) for name, amount in measured.items()]
+    whole = [house.lake.read(name).agg(F.count("*").alias("row_count")).select(
+        F.lit(None).cast("date").alias("dt"), "row_count", F.lit(None).cast("decimal(18,2)").alias("amount"),
+        F.lit(name).alias("table_name")) for name in ("dim_customer", "dim_merchant", "lookup_customer")]
+    return quality.stacked([*by_day, *whole])
 
 
 @query
@@ -177,14 +223,11 @@ def latest_profile(spark, sf_dir):
 @query
 def full_profile(spark, sf_dir):
     """The nested profile of every customer, spread out to one row per customer and transaction type."""
-    late_days = F.col("dt") >= F.lit("2026-09-15").cast("date")
-    profiles = reports.customer_profile(_customer_days(spark, sf_dir)).filter(late_days)
-    nested = serving.full_profile(_online(spark, sf_dir), profiles)
+    nested = serving.full_profile(_online(spark, sf_dir), reports.customer_profile(_customer_days(spark, sf_dir)))
     flat = nested.select("customer_id", F.inline_outer("realtime_stats"), "offline_profile")
     return flat.select("customer_id", "transaction_type", "amount_sum", "transaction_count",
-                       F.col("offline_profile.dt").alias("dt"),
-                       F.col("offline_profile.total_amount").alias("total_amount"),
-                       F.col("offline_profile.amount_tier").alias("amount_tier"))
+                       *[F.col(f"offline_profile.{name}").alias(name) for name in serving.PROFILE_COLUMNS
+                         if name != "customer_id"])
 
 
 # ---- lake writes, dimensions, checks
@@ -234,25 +277,39 @@ def dim_evolve(spark, sf_dir):
 
 @query
 def dim_snapshot_rerun(spark, sf_dir):
-    """A day's changes applied twice: the second run starts again from the snapshot."""
+    """A day's changes and new accounts applied twice: the second run starts again from the snapshot."""
     lake = Lake(spark, scratch_dir(spark, "lake"))
     customers, customer_changes = _customer_changes(spark, sf_dir)
     merchants, merchant_changes = _merchant_changes(spark, sf_dir)
     lake.replace_table(customers, "dim_customer")
     lake.replace_table(merchants, "dim_merchant")
-    lake.replace_table(samples.accounts(spark, sf_dir), "dim_account")
+    accounts, is_new = samples.accounts(spark, sf_dir), id_number("customer_id") % 20 == 0
+    lake.replace_table(accounts.filter(~is_new), "dim_account")
+    opened = accounts.filter(is_new).select(F.col("account_id").alias("ref"), F.col("customer_id").alias("customer_ref"),
+                                            "account_type", "open_time")
     history = DimensionHistory(lake)
-    for _ in range(2):
-        history.evolve_day(DAY, customer_changes, merchant_changes)
-    return (lake.read("dim_customer").select(F.col("customer_id").alias("id"), "region", "status")
-            .unionByName(lake.read("dim_merchant").select(F.col("merchant_id").alias("id"), "region", "status")))
+    for day in ("20260904", DAY):       # two ways to write one day
+        history.evolve_day(day, customer_changes, merchant_changes, opened)
+    shapes = {"dim_customer": ("customer_id", "level", "region", "status", "register_time", None),
+              "dim_merchant": ("merchant_id", "category", "region", "status", None, "risk_level"),
+              "dim_account": ("account_id", "account_type", None, None, "open_time", "customer_id")}
+    return quality.stacked([lake.read(table).select(*[
+        (F.lit(None).cast("timestamp" if name == "since" else "string") if column is None else F.col(column)).alias(name)
+        for name, column in zip(("id", "kind", "region", "status", "since", "extra"), columns)])
+        for table, columns in shapes.items()])
 
 
 @query
 def active_pool(spark, sf_dir):
     pool = pools.active_pool(samples.customers(spark, sf_dir), samples.accounts(spark, sf_dir),
                              samples.merchants(spark, sf_dir))
-    return pool["accounts"]
+    return quality.stacked([
+        pool["customers"].select(F.lit("customer").alias("kind"), F.col("customer_id").alias("id"),
+                                 F.lit(None).cast("string").alias("owner"), F.lit(None).cast("timestamp").alias("open_time")),
+        pool["merchants"].select(F.lit("merchant"), "merchant_id", F.lit(None).cast("string"),
+                                 F.lit(None).cast("timestamp")).toDF("kind", "id", "owner", "open_time"),
+        pool["accounts"].select(F.lit("account"), "account_id", "customer_id", "open_time")
+                        .toDF("kind", "id", "owner", "open_time")])
 
 
 @query
@@ -260,8 +317,7 @@ def contract_quarantine(spark, sf_dir):
     """Every transaction with its verdict, in one pass."""
     judged = quality.judge_contract(samples.transactions(spark, sf_dir, dirty=True))
     verdict = F.when(F.size("reasons") == 0, "valid").otherwise(F.array_join("reasons", "; "))
-    return judged.select("transaction_id", "customer_id", "account_id", "amount", "event_time",
-                         verdict.alias("verdict"))
+    return judged.select(*TRANSACTION.names, verdict.alias("verdict"))
 
 
 @query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -76,7 +77,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     global _local_scratch
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir is not set: name a folder that every executor can reach")
         if _local_scratch is None:
             _local_scratch = tempfile.mkdtemp(prefix="paystrata-")

@@ -1,26 +1,32 @@
 """Keyed tables for streaming sinks: an append log by batch, read as the newest row per key.
 
 Writing batch *n* again replaces folder ``batch_id=n``, so a replayed micro-batch changes nothing. ``compact``
-folds finished batches into one base so that reads stay proportional to the number of keys.
+folds finished batches into one base so that reads stay proportional to the number of keys; the log does so by itself
+every ``COMPACT_EVERY`` batches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from paystrata.operators.latest import latest_by_key
 from paystrata.sources.files import Folder
 
+COMPACT_EVERY = 50
+
 
 class KeyedLog:
-    """``near`` names the column that reads filter by; files keep its values together and in order."""
+    """``near`` names the column that reads filter by; files keep its values together and in order.
+
+    ``compact_every`` is the number of batches after which the log is folded, 0 for never.
+    """
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: list[str],
-                 near: str | None = None):
+                 near: str | None = None, compact_every: int = COMPACT_EVERY):
         self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, keys
-        self._near = near
+        self._near, self._every = near, compact_every
         self._stored = StructType([*schema.fields, StructField("batch_id", LongType())])
         self._folder = Folder(spark, self.path)
 
@@ -32,6 +38,8 @@ class KeyedLog:
         """
         rows = df.select(*[F.col(field.name).cast(field.dataType).alias(field.name) for field in self.schema])
         self._write(rows, f"log/batch_id={batch_id}")
+        if self._every and batch_id % self._every == self._every - 1:
+            self.compact()
 
     def _write(self, rows: DataFrame, name: str) -> None:
         if self._near:
@@ -66,6 +74,26 @@ class KeyedLog:
     def latest(self) -> DataFrame:
         return latest_by_key(self.rows(), self.keys, ["batch_id"]).select(*self.schema.names)
 
+    def newest(self, time: str, limit: int, condition: Column | None = None) -> DataFrame:
+        """Rows of :meth:`latest`, among them those with the ``limit`` highest values of ``time``, a column of the key, ties included.
+
+        ``condition`` may look at columns of the key only. Versions of a key share their time, so only rows from some time on need to be folded. That time is found from
+        the highest times in the log; it moves back while too few different keys are left. Nothing else is shuffled.
+        """
+        if time not in self.keys:
+            raise ValueError(f"{time} is not part of the key")
+        rows = self.rows() if condition is None else self.rows().filter(condition)
+        asked = 2 * limit
+        while True:
+            least, seen = (rows.select(time).filter(F.col(time).isNotNull()).orderBy(F.desc(time)).limit(asked)
+                           .agg(F.min(time), F.count("*")).first())
+            # fewer times than asked for: every row is needed, also those without a time
+            taken = rows if seen < asked else rows.filter(F.col(time) >= F.lit(least))
+            kept = latest_by_key(taken, self.keys, ["batch_id"]).select(*self.schema.names)
+            if seen < asked or kept.limit(limit).count() == limit:
+                return kept
+            asked *= 4
+
     def compact(self) -> None:
         """Fold all batches but the last, which may still be replayed, into a new base."""
         batches = sorted(int(name.split("=")[1]) for name in self._folder.children("log")

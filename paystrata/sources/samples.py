@@ -24,7 +24,7 @@ def _text_id(prefix: str, *parts: Column) -> Column:
 
 
 def transactions(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
-    """Transactions without ``dt``; ``dirty`` adds negative amounts, missing ids and missing times."""
+    """Transactions without ``dt``; ``dirty`` adds negative amounts, missing ids and times, and unknown kinds."""
     joined = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
     amount = ((F.expr("CAST(round(l_extendedprice * 100) AS BIGINT) div 10").cast("decimal(18,0)"))
@@ -34,18 +34,22 @@ def transactions(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataF
                      (F.datediff(F.to_date("l_shipdate"), F.lit("1995-01-02").cast("date")) % 61).cast("int"))
     second = (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 61) % 86400
     event_time = F.timestamp_seconds(F.unix_date(day).cast("bigint") * 86400 + second)
+    currency = F.expr("CASE l_returnflag WHEN 'A' THEN 'CNY' WHEN 'N' THEN 'USD' ELSE 'EUR' END")
+    kind = F.expr("CASE l_linestatus WHEN 'F' THEN 'REFUND' ELSE 'PAYMENT' END")
     if dirty:
+        currency = F.when(F.col("l_quantity") == 13, "GBP").otherwise(currency)
+        kind = F.when(F.col("l_quantity") == 17, "CHARGEBACK").otherwise(kind)
         amount = F.when(F.col("l_linenumber") == 7, -amount).otherwise(amount).cast("decimal(18,2)")
         identifier = F.when(F.col("l_quantity") != 50, identifier)
         event_time = F.when(F.col("l_tax") != 0.08, event_time)
     return joined.select(
         identifier.alias("transaction_id"),
         amount.alias("amount"),
-        F.expr("CASE l_returnflag WHEN 'A' THEN 'CNY' WHEN 'N' THEN 'USD' ELSE 'EUR' END").alias("currency"),
+        currency.alias("currency"),
         _text_id("C", F.col("o_custkey")).alias("customer_id"),
         _text_id("A", F.col("o_custkey"), F.col("l_linenumber") % 5).alias("account_id"),
         _text_id("M", F.col("l_suppkey")).alias("merchant_id"),
-        F.expr("CASE l_linestatus WHEN 'F' THEN 'REFUND' ELSE 'PAYMENT' END").alias("transaction_type"),
+        kind.alias("transaction_type"),
         event_time.alias("event_time"))
 
 
@@ -78,11 +82,11 @@ def customers_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = customers(spark, sf_dir)
     return clean.select(
         F.when(key % 50 == 7, "").otherwise(F.col("customer_id")).alias("customer_id"),
-        F.when(key % 50 != 11, F.col("level")).alias("level"),
+        F.when(key % 50 == 17, "V9").when(key % 50 != 11, F.col("level")).alias("level"),
         "region",
         F.when(key % 50 == 13, "not a time")
          .otherwise(F.date_format("register_time", "yyyy-MM-dd HH:mm:ss")).alias("register_time"),
-        "status")
+        F.when(key % 50 == 19, "GONE").otherwise(F.col("status")).alias("status"))
 
 
 def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from paystrata.sources.files import Folder
 
 DELAY_SECONDS = 5
-_KEEP = 100
 
 
 def _watermark(folder: Folder, batch_id: int, delay_seconds: int) -> int | None:
     """Newest event time of the batches before this one, less the delay, in microseconds."""
     earlier = [int(name) for name in folder.children() if name.isdigit() and int(name) < batch_id]
     if not earlier:
+        if batch_id > 0:
+            raise RuntimeError(f"no watermark from before batch {batch_id} is left in {folder.root}")
         return None
     newest = folder.read_text(str(max(earlier)))
     return int(newest) - delay_seconds * 1_000_000 if newest else None
@@ -32,8 +33,10 @@ def split_late(batch: DataFrame, batch_id: int, state_path: str, delay_seconds:
     if watermark is not None:
         newest = max(newest or 0, watermark + delay_seconds * 1_000_000)
     folder.write_text(str(batch_id), "" if newest is None else str(newest))
+    # as far back as the checkpoint can be rolled back, and the batch before that
+    kept = int(batch.sparkSession.conf.get("spark.sql.streaming.minBatchesToRetain")) + 1
     for name in folder.children():
-        if name.isdigit() and int(name) < batch_id - _KEEP:
+        if name.isdigit() and int(name) < batch_id - kept:
             folder.delete(name)
     if watermark is None:
         return batch.limit(0)
