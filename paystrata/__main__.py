@@ -39,8 +39,8 @@ def _logs(spark, lake: str) -> list[KeyedLog]:
 
 def _topic(spark, args, name: str):
     if args.kafka:
-        return kafka_topic(spark, args.kafka, name, f"{name}-group")
-    return folder_topic(spark, f"{args.topics}/{name}")
+        return kafka_topic(spark, args.kafka, name, f"{name}-group", maxOffsetsPerTrigger=str(args.most_messages))
+    return folder_topic(spark, f"{args.topics}/{name}", maxFilesPerTrigger=str(args.most_files))
 
 
 def _publisher(args):
@@ -76,10 +76,10 @@ def start_stream(spark, args):
         return jobs.start_late_job(_topic(spark, args, RAW), late, checkpoint, trigger)
     if args.job == "clean":
         return jobs.start_clean_job(_topic(spark, args, RAW), Lake(spark, args.lake), _online(spark, args.lake),
-                                    _publisher(args), checkpoint, trigger)
+                                    _publisher(args), checkpoint, trigger, args.ttl)
     sink = KeyedLog(spark, f"{keyed}/dws_realtime_agg", REALTIME_AGG, WINDOW_KEY, "customer_id")
     return jobs.start_window_job(parse_messages(_topic(spark, args, CLEANED), TRANSACTION_ONLINE), sink, checkpoint,
-                                 trigger)
+                                 trigger, dedup=args.dedup)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -97,6 +97,10 @@ def parser() -> argparse.ArgumentParser:
     where = stream.add_mutually_exclusive_group(required=True)
     where.add_argument("--topics", help="folder of message files")
     where.add_argument("--kafka", help="bootstrap servers")
+    stream.add_argument("--most-messages", type=int, default=1_000_000, help="bound of a micro-batch from Kafka")
+    stream.add_argument("--most-files", type=int, default=1_000, help="bound of a micro-batch from a folder")
+    stream.add_argument("--ttl", help="clean: keep the first row of a transaction, and forget it after this time")
+    stream.add_argument("--dedup", action="store_true", help="windows: count a repeated row once")
     stream.add_argument("--backlog", action="store_true", help="work off what is there and stop")
     recent = commands.add_parser("recent")
     recent.add_argument("--customer")

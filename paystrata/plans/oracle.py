@@ -413,6 +413,7 @@ SELECT '{"transaction_id":"' || transaction_id || '"}' AS key,
 SELECT {_TX_COLUMNS} FROM (SELECT * REPLACE (date_trunc('millisecond', event_time) AS event_time) FROM ev)
 WHERE n % 11 NOT IN (0, 1) AND amount > 0"""),
 
+    "window_dedup": _with(["live"], _windows("TUMBLE", 5, "live")),
     "window_tumble": _with(["live"], _windows("TUMBLE", 5, "live")),
     "window_hop": _with(["live"], _windows("HOP", 10, "live")),
     "window_union": _with(["live"], _windows("TUMBLE", 5, "live") + " UNION ALL " + _windows("HOP", 10, "live")),

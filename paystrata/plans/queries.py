@@ -406,17 +406,24 @@ def _lookups(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
             to_lookup(samples.merchants(spark, sf_dir), "merchant_id", MERCHANT_LOOKUP_PREFIX))
 
 
-def _window_run(spark, sf_dir, shape) -> DataFrame:
+def _window_run(spark, sf_dir, shape, copies: int = 1) -> DataFrame:
     """Rows are enriched in a batch job, whose joins adapt to size and skew; the stream only aggregates."""
     work = scratch_dir(spark, "windows")
     clean = detail.clean_transactions(samples.stream_rows(spark, sf_dir), require_customer=True)
-    jobs.enrich_online(clean, *_lookups(spark, sf_dir)).write.parquet(f"{work}/rows")
+    for _ in range(copies):
+        jobs.enrich_online(clean, *_lookups(spark, sf_dir)).write.mode("append").parquet(f"{work}/rows")
     live = spark.readStream.schema(TRANSACTION_ONLINE).parquet(f"{work}/rows")
     sink = KeyedLog(spark, f"{work}/table", REALTIME_AGG, WINDOW_KEY, "customer_id")
-    jobs.start_window_job(live, sink, f"{work}/checkpoint", jobs.BACKLOG, shape).awaitTermination()
+    jobs.start_window_job(live, sink, f"{work}/checkpoint", jobs.BACKLOG, shape, dedup=copies > 1).awaitTermination()
     return sink.latest()
 
 
+@query
+def window_dedup(spark, sf_dir):
+    """Every row arrives twice and counts once."""
+    return _window_run(spark, sf_dir, windows.tumbling, copies=2)
+
+
 @query
 def window_tumble(spark, sf_dir):
     return _window_run(spark, sf_dir, windows.tumbling)

@@ -1,4 +1,4 @@
-"""Keep the newest row per transaction on a stream."""
+"""Keep one row per transaction on a stream: the newest, or the first."""
 
 from __future__ import annotations
 
@@ -22,3 +22,13 @@ def dedup_latest(df: DataFrame) -> DataFrame:
     return (newest.filter(F.col("newest._arrival") == -now)
             .select(*[F.col(name) if name == "transaction_id" else F.col(f"newest.{name}").alias(name)
                       for name in df.columns]))
+
+
+def dedup_first(df: DataFrame, ttl: str) -> DataFrame:
+    """Let the first row of each transaction through, in append mode; later ones within ``ttl`` are dropped.
+
+    The state of a transaction goes once the newest event time is ``ttl`` past it, so it does not grow with all
+    transactions ever seen. Use this where copies are equal; :func:`dedup_latest` is for versions that differ, and needs
+    all of them.
+    """
+    return df.withWatermark("event_time", ttl).dropDuplicatesWithinWatermark(["transaction_id"])

@@ -15,7 +15,7 @@ from paystrata.sources.keyed import KeyedLog
 from paystrata.sources.lake import Lake
 from paystrata.sources.lookup import lookup
 from paystrata.sources.topics import parse_messages, to_messages
-from paystrata.streaming.dedup import dedup_latest
+from paystrata.streaming.dedup import dedup_first, dedup_latest
 from paystrata.streaming.late import DELAY_SECONDS, split_late
 from paystrata.streaming.windows import DELAY, both_windows
 
@@ -58,9 +58,11 @@ def start_late_job(messages: DataFrame, late: KeyedLog, checkpoint: str, trigger
 
 def start_clean_job(messages: DataFrame, lake: Lake, online: KeyedLog,
                     publish: Callable[[DataFrame, int], None] | None, checkpoint: str,
-                    trigger: dict = EVERY) -> StreamingQuery:
+                    trigger: dict = EVERY, ttl: str | None = None) -> StreamingQuery:
     """Parse, clean, keep the newest row, enrich; one pass feeds the online table and the next topic.
 
+    With ``ttl``, the first row of a transaction is kept instead, and forgotten after that time.
+
     The lookup tables are opened anew in each batch, so a dimension published meanwhile is seen. The topic is fed
     from the batch as the online table holds it: nothing is computed twice, and nothing is lost with an executor.
     """
@@ -68,11 +70,19 @@ def start_clean_job(messages: DataFrame, lake: Lake, online: KeyedLog,
         online.upsert(enrich_online(batch, lake.read("lookup_customer"), lake.read("lookup_merchant")), batch_id)
         if publish:
             publish(to_messages(online.batch(batch_id), ["transaction_id"]), batch_id)
-    newest = dedup_latest(clean_transactions(parse_messages(messages), require_customer=True))
-    return start(newest, "update", checkpoint, trigger, write)
+    clean = clean_transactions(parse_messages(messages), require_customer=True)
+    if ttl:
+        return start(dedup_first(clean, ttl), "append", checkpoint, trigger, write)
+    return start(dedup_latest(clean), "update", checkpoint, trigger, write)
 
 
 def start_window_job(rows: DataFrame, sink: KeyedLog, checkpoint: str, trigger: dict = EVERY,
-                     windows: Callable[[DataFrame], DataFrame] = both_windows) -> StreamingQuery:
-    """Window totals of enriched rows, written once the watermark has passed the end of a window."""
-    return start(windows(rows.withWatermark("event_time", DELAY)), "append", checkpoint, trigger, sink.upsert)
+                     windows: Callable[[DataFrame], DataFrame] = both_windows, dedup: bool = False) -> StreamingQuery:
+    """Window totals of enriched rows, written once the watermark has passed the end of a window.
+
+    ``dedup`` lets a row through once that arrives again with the same time, as after a clock that stepped back.
+    """
+    marked = rows.withWatermark("event_time", DELAY)
+    if dedup:
+        marked = marked.dropDuplicates(["transaction_id", "event_time"])
+    return start(windows(marked), "append", checkpoint, trigger, sink.upsert)

@@ -4,6 +4,8 @@ import json
 from datetime import datetime
 from decimal import Decimal
 
+import pytest
+
 from paystrata.__main__ import main
 from paystrata.model import (
     CUSTOMER, LATE_KEY, LATE_TRANSACTION, MERCHANT, ONLINE_KEY, REALTIME_AGG, TRANSACTION, TRANSACTION_ONLINE,
@@ -40,6 +42,11 @@ def test_day_and_streams(spark, tmp_path, capsys):
     main(["recent", "--lake", lake, "--customer", "C1", "--limit", "2"])
     found = [json.loads(line) for line in capsys.readouterr().out.splitlines()]
     assert [row["transaction_id"] for row in found] == ["T29", "T28"] and len(found[0]) == 8
+    with pytest.raises(ValueError, match="limit must be"):
+        main(["recent", "--lake", lake, "--limit", "100001"])
+    with pytest.raises(ValueError, match="at least one character"):
+        main(["profile", "", "--lake", lake])
+    main(["compact", "--lake", lake, "--grace", "0"])
     main(["profile", "C1", "--lake", lake])
     [profile] = [json.loads(line) for line in capsys.readouterr().out.splitlines()]
     assert profile["realtime_stats"][0]["transaction_count"] == 29

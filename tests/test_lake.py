@@ -241,3 +241,34 @@ def test_keyed_log_replay_and_compaction(spark, tmp_path):
     assert expected[-1] == {"T1": 2, "T2": 9, "T3": 9}
     log.upsert(ods(spark, batches[3]), 3)       # a replay after the compaction
     assert {r.transaction_id: int(r.amount) for r in log.latest().collect()} == expected[-1]
+
+
+def test_newest_rows_without_folding_the_whole_log(spark, tmp_path):
+    log = KeyedLog(spark, str(tmp_path / "log"), TRANSACTION, ["transaction_id", "event_time"], compact_every=3)
+    for number in range(5):     # every batch repeats the newest transactions of the one before
+        log.upsert(ods(spark, [(f"T{n}", number + 1, "C1", "M1", 1 + n % 28) for n in range(10 * number, 10 * number + 25)]),
+                   number)
+    assert [name for name in log._folder.children("base")] == ["upto=1"]        # folded by itself
+    untimed = spark.createDataFrame([("TX", Decimal(1), "CNY", "C1", "A1", "M1", "PAYMENT", None)], TRANSACTION)
+    log.upsert(untimed, 5)
+    whole = [tuple(r) for r in log.latest().orderBy(F.desc("event_time"), "transaction_id").collect()]
+    for limit in (1, 3, 20, 40, 100):
+        found = log.newest("event_time", limit).orderBy(F.desc("event_time"), "transaction_id").limit(limit).collect()
+        assert [tuple(r) for r in found] == whole[:limit]
+    some = F.col("transaction_id").isin("T3", "T30")
+    assert log.newest("event_time", 5, some).count() == 2
+    plan = log.newest("event_time", 3)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "GreaterThanOrEqual(event_time" in plan
+    with pytest.raises(ValueError):
+        log.newest("amount", 1)
+
+
+def test_scratch_needs_a_shared_folder_on_any_cluster(spark):
+    from types import SimpleNamespace
+
+    from paystrata.session import scratch_dir
+    for master in ("local-cluster[2,1,1024]", "spark://host:7077", "yarn"):
+        session = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None),
+                                  sparkContext=SimpleNamespace(master=master))
+        with pytest.raises(RuntimeError):
+            scratch_dir(session, "x")

@@ -17,7 +17,7 @@ from paystrata.sources.lake import Lake
 from paystrata.sources.lookup import publish_lookup
 from paystrata.sources.topics import folder_topic, parse_messages, to_messages, write_folder
 from paystrata.streaming import jobs, windows
-from paystrata.streaming.dedup import dedup_latest
+from paystrata.streaming.dedup import dedup_first, dedup_latest
 from paystrata.streaming.late import split_late
 
 START = datetime(2026, 9, 4, 10)
@@ -229,3 +229,16 @@ def test_windows_with_disorder_and_a_hot_customer_equal_brute_force(spark, tmp_p
         for r in sink.latest().collect()}
     assert found == expected and len(found) > 10
     assert sink.rows().count() == len(found)        # a closed window is written once
+
+
+def test_first_row_is_kept_and_forgotten(spark, tmp_path):
+    """Copies within the time are dropped; a copy that comes much later counts as new, for the state is gone."""
+    raw = str(tmp_path / "raw")
+    sink = KeyedLog(spark, str(tmp_path / "out"), TRANSACTION, ["transaction_id"])
+    for turn, data in enumerate([[("T1", 1, "C1", "M1", 0), ("T1", 2, "C1", "M1", 1)], [("T1", 3, "C1", "M1", 20), ("T2", 1, "C1", "M1", 500)],
+                                 [("T3", 1, "C1", "M1", 600)], [("T1", 4, "C1", "M1", 700)]]):
+        send(spark, raw, turn, data)
+        first = dedup_first(parse_messages(folder_topic(spark, raw)), "60 seconds")
+        jobs.start(first, "append", str(tmp_path / "checkpoint"), jobs.BACKLOG, sink.upsert).awaitTermination()
+    seen = [(r.transaction_id, int(r.amount)) for r in sink.rows().collect()]
+    assert len(seen) == 4 and {("T2", 1), ("T3", 1), ("T1", 4)} < set(seen)
