@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -48,65 +49,67 @@ def number_new(dim: DataFrame, adds: DataFrame, pk: str) -> DataFrame:
             .drop("_bucket", "_before"))
 
 
-def _active() -> F.Column:
-    return F.col("status") == "ACTIVE"
-
-
-def apply_updates(dim: DataFrame, updates: DataFrame, pk: str) -> DataFrame:
-    """Take the new attribute values of ACTIVE rows; a NULL keeps the old value."""
-    columns = [name for name in UPDATABLE[pk] if name in updates.columns]
-    joined = dim.join(updates.select(pk, *[F.col(name).alias(f"_new_{name}") for name in columns]), pk, "left")
-    return joined.withColumns({
-        name: F.when(_active(), F.coalesce(f"_new_{name}", name)).otherwise(F.col(name)) for name in columns
-    }).select(*dim.columns)
-
-
-def soft_delete(dim: DataFrame, deletes: DataFrame, pk: str) -> DataFrame:
-    """Set the status of the named rows to DELETED; no row goes away."""
-    joined = dim.join(deletes.select(pk, F.lit(True).alias("_deleted")), pk, "left")
-    return (joined.withColumn("status", F.when(F.col("_deleted"), "DELETED").otherwise(F.col("status")))
-            .select(*dim.columns))
-
-
-def rejected(dim: DataFrame, changes: DataFrame, pk: str) -> DataFrame:
-    """Changes that name an id which is missing or not ACTIVE."""
-    return changes.join(dim.filter(_active()).select(pk), pk, "left_anti")
-
-
-def _require_valid(dim: DataFrame, changes: DataFrame, pk: str, what: str) -> None:
-    known = dim.filter(_active()).select(pk, F.lit(True).alias("_known"))
-    found = (changes.select(pk).groupBy(pk).agg(F.count(F.lit(1)).alias("times")).join(known, pk, "left")
-             .agg(F.count_if(F.col("_known").isNull()).alias("unknown"),
-                  F.count_if(F.col("times") > 1).alias("doubled")).first())
-    if found.unknown or found.doubled:
-        raise QualityError(f"{what}: {found.unknown} {pk} values are missing or deleted, "
-                           f"{found.doubled} occur more than once")
-
-
 def require_refs(adds: DataFrame) -> None:
-    found = adds.groupBy("ref").count().agg(
-        F.count_if(F.col("ref").isNull()).alias("missing"), F.count_if(F.col("count") > 1).alias("doubled")).first()
-    if found.missing or found.doubled:
-        raise QualityError(f"adds: ref is missing, or {found.doubled} of its values occur more than once")
-
-
-def add_rows(dim: DataFrame, adds: DataFrame, pk: str) -> DataFrame:
-    """Append new rows, ACTIVE unless they say otherwise, under the next ids."""
-    require_refs(adds)
-    numbered = number_new(dim, adds, pk)
-    if "status" in dim.columns and "status" not in numbered.columns:
-        numbered = numbered.withColumn("status", F.lit("ACTIVE"))
-    return dim.unionByName(numbered.select(*dim.columns))
+    """Every new row has a reference of its own."""
+    _stop(_faults(adds.select(F.lit("adds").alias("change"), F.col("ref").cast("string").alias("id"))))
+
+
+def _faults(named: DataFrame, active_ids: DataFrame | None = None) -> dict[str, Row]:
+    """Per kind of change: ids that are missing, that occur more than once, and that are not among the ACTIVE ones."""
+    counted = named.groupBy("change", "id").agg(F.count(F.lit(1)).alias("times"))
+    if active_ids is None:
+        counted = counted.withColumn("_known", F.lit(True))
+    else:
+        counted = counted.join(active_ids.select(active_ids.columns[0], F.lit(True).alias("_known")).toDF("id", "_known"),
+                               "id", "left")
+    found = counted.groupBy("change").agg(
+        F.count_if(F.col("id").isNull()).alias("missing"), F.count_if(F.col("times") > 1).alias("doubled"),
+        F.count_if(F.col("_known").isNull()).alias("unknown"))
+    return {row["change"]: row for row in found.collect()}       # one row for each kind of change
+
+
+def _stop(faults: dict[str, Row], pk: str = "ref") -> None:
+    for change, found in faults.items():
+        if change == "adds" and (found.missing or found.doubled):
+            raise QualityError(f"adds: ref is missing, or {found.doubled} of its values occur more than once")
+        if change != "adds" and (found.unknown or found.doubled):
+            raise QualityError(f"{change}: {found.unknown} {pk} values are missing or deleted, "
+                               f"{found.doubled} occur more than once")
+
+
+def check_changes(dim: DataFrame, pk: str, changes: Changes) -> None:
+    """Stop at changes that cannot be applied, told by one job over all of them and the ids of the dimension."""
+    parts = {"adds": (changes.adds, "ref"), "updates": (changes.updates, pk), "deletes": (changes.deletes, pk)}
+    named = [rows.select(F.lit(change).alias("change"), F.col(column).cast("string").alias("id"))
+             for change, (rows, column) in parts.items() if rows is not None]
+    if named:
+        _stop(_faults(reduce(DataFrame.unionByName, named), dim.filter(F.col("status") == "ACTIVE").select(pk)), pk)
 
 
 def evolve(dim: DataFrame, pk: str, changes: Changes) -> DataFrame:
-    """Add, then update, then delete; changes to ids that are not ACTIVE are an error."""
+    """Add, update and delete in one pass over the dimension; changes to ids that are not ACTIVE are an error.
+
+    A NULL in an update keeps the old value; a deleted row stays, as DELETED. New rows are ACTIVE unless they say
+    otherwise. Updates and deletes name ids that were there before, so they never meet the new rows.
+    """
+    check_changes(dim, pk, changes)
+    after = dim
+    if changes.updates is not None or changes.deletes is not None:
+        columns, merged = [], None
+        if changes.updates is not None:
+            columns = [name for name in UPDATABLE[pk] if name in changes.updates.columns]
+            merged = changes.updates.select(pk, *[F.col(name).alias(f"_new_{name}") for name in columns])
+        if changes.deletes is not None:
+            gone = changes.deletes.select(pk, F.lit(True).alias("_deleted"))
+            merged = gone if merged is None else merged.join(gone, pk, "full_outer")
+        else:
+            merged = merged.withColumn("_deleted", F.lit(None).cast("boolean"))
+        after = dim.join(merged, pk, "left").withColumns({
+            **{name: F.coalesce(f"_new_{name}", name) for name in columns},
+            "status": F.when(F.col("_deleted"), "DELETED").otherwise(F.col("status"))}).select(*dim.columns)
     if changes.adds is not None:
-        dim = add_rows(dim, changes.adds, pk)
-    if changes.updates is not None:
-        _require_valid(dim, changes.updates, pk, "updates")
-        dim = apply_updates(dim, changes.updates, pk)
-    if changes.deletes is not None:
-        _require_valid(dim, changes.deletes, pk, "deletes")
-        dim = soft_delete(dim, changes.deletes, pk)
-    return dim
+        numbered = number_new(dim, changes.adds, pk)
+        if "status" in dim.columns and "status" not in numbered.columns:
+            numbered = numbered.withColumn("status", F.lit("ACTIVE"))
+        after = after.unionByName(numbered.select(*dim.columns))
+    return after
