@@ -16,7 +16,7 @@ from paystrata.sources.lake import Lake
 from paystrata.sources.lookup import lookup
 from paystrata.sources.topics import parse_messages, to_messages
 from paystrata.streaming.dedup import dedup_first, dedup_latest
-from paystrata.streaming.late import DELAY_SECONDS, split_late
+from paystrata.streaming.late import DELAY_SECONDS, set_late_aside
 from paystrata.streaming.windows import DELAY, both_windows
 
 EVERY = {"processingTime": "10 seconds"}       # as often as checkpoints are taken
@@ -47,12 +47,8 @@ def start_late_job(messages: DataFrame, late: KeyedLog, checkpoint: str, trigger
                    delay_seconds: int = DELAY_SECONDS) -> StreamingQuery:
     """Raw rows older than the watermark go to the late table. They also stay in the main flow."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            rows = split_late(batch, batch_id, f"{checkpoint}-watermarks", delay_seconds)
-            late.upsert(rows.select(*LATE_TRANSACTION.names), batch_id)
-        finally:
-            batch.unpersist()
+        set_late_aside(batch, batch_id, f"{checkpoint}-watermarks",
+                       lambda rows: late.upsert(rows.select(*LATE_TRANSACTION.names), batch_id), delay_seconds)
     return start(parse_messages(messages), "append", checkpoint, trigger, write)
 
 

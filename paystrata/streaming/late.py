@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from paystrata.sources.files import Folder
@@ -21,23 +23,27 @@ def _watermark(folder: Folder, batch_id: int, delay_seconds: int) -> int | None:
     return int(newest) - delay_seconds * 1_000_000 if newest else None
 
 
-def split_late(batch: DataFrame, batch_id: int, state_path: str, delay_seconds: int = DELAY_SECONDS) -> DataFrame:
-    """Rows of the batch that are late; a row without a time is not, and nothing in the first batch is.
+def set_late_aside(batch: DataFrame, batch_id: int, state_path: str, write: Callable[[DataFrame], None],
+                   delay_seconds: int = DELAY_SECONDS) -> None:
+    """Hand the late rows of the batch to ``write``; a row without a time is not late, and nothing in the first batch is.
 
     The only state is one number per batch, the newest time so far, kept under ``state_path``. Batch *n* reads the
-    numbers of earlier batches only, so a replay gives the same split.
+    numbers of earlier batches only, so a replay gives the same rows. The batch's own newest time is observed while the
+    late rows are written, so the batch is computed once and kept nowhere.
     """
     folder = Folder(batch.sparkSession, state_path)
     watermark = _watermark(folder, batch_id, delay_seconds)
-    newest = batch.agg(F.max(F.unix_micros("event_time"))).first()[0]
-    if watermark is not None:
-        newest = max(newest or 0, watermark + delay_seconds * 1_000_000)
-    folder.write_text(str(batch_id), "" if newest is None else str(newest))
+    newest = F.max(F.unix_micros("event_time")).alias("newest")
+    if watermark is None:
+        seen = batch.agg(newest).first()[0]
+        write(batch.limit(0))
+    else:
+        observed = Observation()
+        write(batch.observe(observed, newest).filter(F.col("event_time") < F.timestamp_micros(F.lit(watermark))))
+        seen = max(observed.get["newest"] or 0, watermark + delay_seconds * 1_000_000)
+    folder.write_text(str(batch_id), "" if seen is None else str(seen))
     # as far back as the checkpoint can be rolled back, and the batch before that
     kept = int(batch.sparkSession.conf.get("spark.sql.streaming.minBatchesToRetain")) + 1
     for name in folder.children():
         if name.isdigit() and int(name) < batch_id - kept:
             folder.delete(name)
-    if watermark is None:
-        return batch.limit(0)
-    return batch.filter(F.col("event_time") < F.timestamp_micros(F.lit(watermark)))

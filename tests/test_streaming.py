@@ -18,7 +18,7 @@ from paystrata.sources.lookup import publish_lookup
 from paystrata.sources.topics import folder_topic, parse_messages, to_messages, write_folder
 from paystrata.streaming import jobs, windows
 from paystrata.streaming.dedup import dedup_first, dedup_latest
-from paystrata.streaming.late import split_late
+from paystrata.streaming.late import set_late_aside
 
 START = datetime(2026, 9, 4, 10)
 
@@ -134,8 +134,9 @@ def test_late_rows_by_batch_and_replay(spark, tmp_path):
     expected = [set(), {"T4", "T7"}, set(), {"T8"}, {"T10"}]     # rows are not cleaned first
     for _ in range(2):                                           # the second round replays every batch
         for number, data in enumerate(batches):
-            late = split_late(transactions(spark, data), number, state)
-            assert {r.transaction_id for r in late.collect()} == expected[number]
+            late = []
+            set_late_aside(transactions(spark, data), number, state, lambda rows: late.extend(rows.collect()))
+            assert {r.transaction_id for r in late} == expected[number]
 
 
 def test_late_job_over_a_restart(spark, tmp_path):
