@@ -128,13 +128,9 @@ def test_large_groups_and_frequent_passages(spark):
                                                                     min_size=1, max_size=8))
 def test_divide_skip_counts_overlaps(query, others):
     query_, sets = np.array(sorted(query), np.uint64), [np.array(sorted(o), np.uint64) for o in others]
-    found = shingle_join.divide_skip(query_, sets)
-    for overlap, other in zip(found, others):
-        both = len(query & other)
-        if both >= shingle_join.least_overlap(len(query)):
-            assert overlap == both
-        else:
-            assert not shingle_join.links(overlap, len(query), len(other)) or overlap == 0
+    found = dict(zip(*[x.tolist() for x in shingle_join.InvertedLists(sets).search(query_)]))
+    least = shingle_join.least_overlap(len(query))
+    assert found == {k: len(query & other) for k, other in enumerate(others) if len(query & other) >= least}
 
 
 def test_star_contraction(spark):
