@@ -95,3 +95,23 @@ def test_stages_keep_columns_and_take_effect(spark):
 def test_names_must_not_clash(spark):
     with pytest.raises(ValueError):
         sharding.place(frame(spark).withColumn("slot", F.lit(1)), ["a"])
+
+
+UNLEARNED = {
+    "zh": "今天天气很好我们一起去公园散步吧然后在湖边的咖啡馆喝一杯热茶。", "ja": "今日は天気がいいので友達と公園を散歩します。",
+    "ru": "Сегодня хорошая погода и мы пойдем гулять в парк вместе с друзьями.", "el": "Σήμερα ο καιρός είναι καλός και θα πάμε βόλτα.",
+    "ar": "الطقس جميل اليوم وسوف نذهب إلى الحديقة مع أصدقائنا", "fi": "Tänään on kaunis ilma ja menemme yhdessä puistoon kävelylle.",
+    "gibberish": "xq zzkj qwrt vbnm kjhg pkx wqz jjxk vvqp zkxw bqjz hkqx"}
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
+def test_texts_of_unlearned_languages_go(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").filter("text RLIKE '[A-Za-z]'")
+    model = language_id.learned(docs, language_id.trained_rows())
+    strange = spark.createDataFrame([(-1 - i, t * n) for i, (t, n) in enumerate((t, n) for t in UNLEARNED.values() for n in (1, 40))],
+                                    "doc_id long, text string")
+    found = language_id.with_language(strange, model, corpus_pipeline.LEAST_LANGUAGE_SCORE).collect()
+    assert found == []
+    assert {(r["lang_pred"], r["score"]) for r in language_id.identify(strange, model).collect()} == {("und", 0.0)}
+    held = docs.filter(~language_id.trained_rows())
+    assert language_id.with_language(held, model, corpus_pipeline.LEAST_LANGUAGE_SCORE).count() == held.count()
