@@ -4,8 +4,12 @@ Every run of ``K`` bytes holds ``K - S + 1`` runs of ``S`` bytes. It is an ancho
 the first or of the last. Whether a run is an anchor depends on its own bytes only, so an edit changes anchors near it and
 no others. A fingerprint lists the anchors' hashes with the distance to the anchor before, in text order.
 
+Runs of ``K`` bytes are too long for short texts. A text under ``SHORT`` bytes has the anchors of runs of ``SHORT_K`` bytes (and
+``SHORT_S``), one of ``LONG`` bytes or more those of ``K``, and one between has both, so that texts on either side of a bound
+still share anchors. Of any ``k - s`` runs on end one at least is an anchor.
+
 Two fingerprints are compared by position: each hash they share gives a shift (where it is here, less where it is there),
-and shared anchors count when at least two have the same shift. The likeness is twice the number of
+and shared anchors count when at least two have the same shift, or one does and a fingerprint has under ``FEW`` anchors. The likeness is twice the number of
 anchors matched so, one to one, by the number of anchors of both.
 """
 
@@ -24,6 +28,12 @@ from paystrata.llm.common import pick, ship
 
 K = 32
 S = 8
+SHORT_K = 8
+SHORT_S = 4
+#: Bytes of text from which on there are anchors of K, and below which there are anchors of SHORT_K.
+LONG = 128
+SHORT = 256
+FEW = 8
 #: Ranges of ids to a shuffle partition; several, so that hashing them to partitions deals evenly.
 PARTS_PER_PARTITION = 4
 
@@ -46,19 +56,28 @@ def _smallest(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:len(values) - rest], values[rest:]) if rest else values
 
 
+def _syncmers(data: np.ndarray, sums, k: int, s: int) -> Anchors:
+    at = np.arange(len(data) - s + 1)
+    inner = hashing.ranges(sums, at, at + s)
+    least = _smallest(inner, k - s + 1)
+    chosen = np.flatnonzero((inner[:len(least)] == least) | (inner[k - s:k - s + len(least)] == least))
+    return chosen, (hashing.ranges(sums, chosen, chosen + k) >> np.uint64(32)).astype(np.uint32)
+
+
 def anchors(text: bytes, k: int = K, s: int = S) -> Anchors:
     """Positions and 32-bit hashes of the closed syncmers; a text without one is its own anchor, an empty text has none."""
     data = np.frombuffer(text, np.uint8)
-    if len(data) >= k:
-        sums = hashing.running(data, hashing.EXACT)
-        at = np.arange(len(data) - s + 1)
-        inner = hashing.ranges(sums, at, at + s)
-        least = _smallest(inner, k - s + 1)
-        chosen = np.flatnonzero((inner[:len(least)] == least) | (inner[k - s:k - s + len(least)] == least))
-        if len(chosen):
-            return chosen, (hashing.ranges(sums, chosen, chosen + k) >> np.uint64(32)).astype(np.uint32)
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.uint32)
+    sizes = [size for size, held in (((k, s), len(data) >= LONG), ((SHORT_K, SHORT_S), len(data) < SHORT))
+             if held and len(data) >= size[0]]
+    if sizes:
+        sums = hashing.running(data, hashing.EXACT)
+        found = [_syncmers(data, sums, *size) for size in sizes]
+        at, hashes = found[0] if len(found) == 1 else (np.concatenate(x) for x in zip(*found))
+        if len(at):
+            order = np.argsort(at, kind="stable")
+            return (at, hashes) if len(found) == 1 else (at[order], hashes[order])
     whole = int.from_bytes(hashlib.sha256(text).digest()[:4], "big")
     return np.zeros(1, np.int64), np.array([whole], np.uint32)
 
@@ -91,7 +110,7 @@ def likeness(one: Anchors, other: Anchors) -> float:
         return 0.0
     shifts = at[mine] - at2[theirs]
     _, back, n = np.unique(shifts, return_inverse=True, return_counts=True)
-    matched = len(mine) if len(mine) == 1 and len(h) == len(h2) == 1 else int((n[back] > 1).sum())
+    matched = int((n[back] > 1).sum()) or (1 if min(len(h), len(h2)) < FEW else 0)
     return 2 * matched / (len(h) + len(h2))
 
 

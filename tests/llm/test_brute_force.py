@@ -341,6 +341,20 @@ def test_closed_syncmers():
     assert set(at + 17) <= set(moved.tolist())          # anchors don't depend on what stands around them
 
 
+@pytest.mark.parametrize("length", [*range(16, 300), 400, 1000])
+def test_short_texts_keep_their_likeness(length):
+    r = random.Random(length)
+    for alphabet in ("abcdefghijklmnopqrstuvwxyz     ", "the of and ", "abcdefghäöü "):
+        for _ in range(5):
+            text, following = ("".join(r.choice(alphabet) for _ in range(length)) for _ in range(2))
+            changed = fingerprints.edited(text, following)
+            found = [fingerprints.anchors(t.encode()) for t in (text, changed)]
+            assert fingerprints.likeness(*found) > 0
+            assert all(fingerprints.likeness(f, fingerprints.read(fingerprints.written(f))) == 1 for f in found)
+    other = "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(length))
+    assert fingerprints.likeness(fingerprints.anchors(text.encode()), fingerprints.anchors(other.encode())) == 0
+
+
 # sharding
 
 def test_lookup_table():
