@@ -1,8 +1,12 @@
 """Hashes of byte ranges, words and word windows over many texts at once.
 
-A block of texts is one byte array. A running sum of ``value[byte] * R**position`` (modulo 2**64) gives the hash of any
-byte range from two of its entries: the difference divided by ``R**start``. Different ranges of one comparison agree
-by chance with a probability of about 2**-64.
+A block of texts is one byte array. Words, lines and other ranges that don't overlap have a multilinear hash
+(``spans``): the sum of ``value[byte] * key[position in the range]`` modulo 2**64, with keys that look random and owe nothing
+to the text. Two ranges agree with a probability of about 2**-57, whatever they hold.
+
+Short windows that overlap (``running`` and ``ranges``) come from a running sum of ``value[byte] * R**position``: two of its
+entries give the hash of a range, the difference divided by ``R**start``. A polynomial modulo 2**64 is weak for ranges of a
+thousand bytes and more, so nothing longer than some tens of bytes is hashed that way.
 """
 
 from __future__ import annotations
@@ -45,6 +49,26 @@ def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers, _inverse
 
 
+def _keys(positions: np.ndarray) -> np.ndarray:
+    return mix((positions + 1).astype(np.uint64) * np.uint64(_R) + np.uint64(0x2545F4914F6CDD1D))
+
+
+#: Keys of the first positions; longer ranges compute theirs.
+_KEYS = _keys(np.arange(1 << 12))
+
+
+def spans(data: np.ndarray, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hash of each byte range; meant for ranges that don't overlap, as its cost is that of their bytes."""
+    length = np.asarray(ends) - starts
+    n = int(length.sum()) if len(length) else 0
+    first = np.cumsum(length) - length
+    place = np.arange(n) - np.repeat(first, length)
+    keys = _KEYS[place] if len(length) == 0 or length.max() <= len(_KEYS) else _keys(place)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(values[data[place + np.repeat(starts, length)]] * keys, out=sums[1:])
+    return mix(sums[first + length] - sums[first] + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 def running(data: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Entry i is the sum over the first i bytes."""
     powers, _ = _power_table(len(data) + 1)
@@ -54,7 +78,7 @@ def running(data: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def ranges(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The hash of each byte range; it depends on the bytes and their number only."""
+    """The hash of each short byte range; it depends on the bytes and their number only."""
     _, inverse = _power_table(len(sums))
     raw = (sums[ends] - sums[starts]) * inverse[starts]
     return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))

@@ -86,8 +86,7 @@ def _pieces(doc_ids, data, offsets, cache, whole, window, end_id) -> pa.RecordBa
     starts = np.empty_like(ends)
     starts[1:] = ends[:-1]
     starts[:1] = 0
-    sums = hashing.running(data, hashing.EXACT)
-    at, size = cache.look_up(hashing.ranges(sums, starts, ends), data, starts, ends)
+    at, size = cache.look_up(hashing.spans(data, hashing.EXACT, starts, ends), data, starts, ends)
     ids = gather(cache.pool, at, size)
     tokens_before = np.concatenate([[0], np.cumsum(size)])[before]
     odd = np.zeros(len(data) + 1, np.int64)

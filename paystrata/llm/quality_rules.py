@@ -97,22 +97,20 @@ def line_verdicts(data: np.ndarray, offsets: np.ndarray, word_starts: np.ndarray
 def _separators() -> np.ndarray:
     raw = [s.encode() for s in SEPARATORS]
     ends = np.cumsum([len(r) for r in raw])
-    sums = hashing.running(np.frombuffer(b"".join(raw), np.uint8), hashing.EXACT)
-    return hashing.ranges(sums, ends - [len(r) for r in raw], ends)
+    return hashing.spans(np.frombuffer(b"".join(raw), np.uint8), hashing.EXACT, ends - [len(r) for r in raw], ends)
 
 
 def judge(data: np.ndarray, offsets: np.ndarray, cleaned: bool = False) -> list:
     """The columns of ``FIELDS`` for a block of texts, and the cleaned texts if asked for."""
     n = len(offsets) - 1
     word_starts, word_ends, before = hashing.word_bounds(data, offsets)
-    sums = hashing.running(data, hashing.EXACT)
-    words = hashing.ranges(sums, word_starts, word_ends)
+    words = hashing.spans(data, hashing.EXACT, word_starts, word_ends)
     grams = hashing.windows(words, 3)
     n_words = np.diff(before)
     solid = _sum_by(~hashing.IS_SPACE[data] & _OPENS_CHARACTER[data])
     symbols = _sum_by(_IS_SYMBOL[data])
     starts, ends, chars, failed = line_verdicts(data, offsets, word_starts, words, solid)
-    line_hashes = hashing.ranges(sums, starts, ends)
+    line_hashes = hashing.spans(data, hashing.EXACT, starts, ends)
     line_of = np.searchsorted(starts, offsets)
     lost_upto = np.concatenate([[0], np.cumsum(chars * failed)])
     duplicates, repeated = np.zeros(n, np.int64), np.zeros(n, np.int64)

@@ -83,10 +83,28 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return place(placed, shards[:-1], slot_name="slot_after", shard_name="shard_after").drop("slot_after")
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents that share 85 of 100 of their five-word shingles."""
+    from paystrata.llm.minhash import near_duplicates
+    return near_duplicates(documents(spark, sf_dir))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first four whitened components of all embeddings."""
+    from paystrata.llm.whitening import whiten
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest collocations of each language in all documents."""
+    from paystrata.llm.phrases import collocations
+    return collocations(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op2_shingle_join, op3_language_id, op4_secret_scan, op5_quality_rules, op6_sentence_pieces, op7_fingerprints,
-        op8_toxicity, op9_token_counts, op10_sharding)}
+        op8_toxicity, op9_token_counts, op10_sharding, op11_minhash, op12_whitening, op13_phrases)}
 
 _SHINGLE_JOIN_SQL = r"""
 WITH RECURSIVE words AS (
@@ -200,5 +218,8 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
 FROM counted
 """
 
-ORACLE: dict[str, str] = {"op2_shingle_join": _SHINGLE_JOIN_SQL, "op4_secret_scan": _SECRET_SCAN_SQL,
+_MINHASH_SQL = _SHINGLE_JOIN_SQL.replace("100 * p.o >= 75 *", "100 * p.o >= 85 *").replace(
+    "c.component_id\nFROM documents", "c.component_id,\n    d.doc_id = c.component_id AS kept\nFROM documents")
+
+ORACLE: dict[str, str] = {"op2_shingle_join": _SHINGLE_JOIN_SQL, "op11_minhash": _MINHASH_SQL, "op4_secret_scan": _SECRET_SCAN_SQL,
                           "op5_quality_rules": _QUALITY_RULES_SQL}

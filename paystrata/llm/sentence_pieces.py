@@ -230,7 +230,7 @@ class Coder:
             starts, ends, before = _word_pieces(data, offsets)
         else:
             starts, ends, before = offsets[:-1], offsets[1:], np.arange(n + 1)
-        hashes = hashing.ranges(hashing.running(data, hashing.EXACT), starts, ends)
+        hashes = hashing.spans(data, hashing.EXACT, starts, ends)
         at, size = self.cache.look_up(hashes, data, starts, ends)
         return gather(self.cache.pool, at, size), np.concatenate([[0], np.cumsum(size)])[before]
 

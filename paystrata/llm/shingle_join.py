@@ -69,7 +69,7 @@ def links(overlap, n, m, percent: int = PERCENT):
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text; a text of fewer words is one shingle, one without words none."""
     starts, ends, before = hashing.word_bounds(data, offsets)
-    hashes = hashing.ranges(hashing.running(data, hashing.FOLDED), starts, ends)
+    hashes = hashing.spans(data, hashing.FOLDED, starts, ends)
     grams = hashing.windows(hashes, words)
     out = []
     for a, b in zip(before[:-1].tolist(), before[1:].tolist()):

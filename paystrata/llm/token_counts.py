@@ -31,7 +31,7 @@ TOKEN_LIMIT = 2048
 
 def _words(data, offsets):
     starts, ends, before = hashing.word_bounds(data, offsets)
-    return starts, ends, before, hashing.ranges(hashing.running(data, hashing.EXACT), starts, ends)
+    return starts, ends, before, hashing.spans(data, hashing.EXACT, starts, ends)
 
 
 def frequent_words(texts: DataFrame) -> DataFrame:
@@ -67,8 +67,7 @@ def length_table(words: list[str], tokenizer_path: str, slots: int = TABLE_SLOTS
         return keys, sizes
     raw = [w.encode() for w in words]
     offsets = np.concatenate([[0], np.cumsum([len(w) for w in raw])]).astype(np.int64)
-    hashes = hashing.ranges(hashing.running(np.frombuffer(b"".join(raw), np.uint8), hashing.EXACT),
-                            offsets[:-1], offsets[1:])
+    hashes = hashing.spans(np.frombuffer(b"".join(raw), np.uint8), hashing.EXACT, offsets[:-1], offsets[1:])
     n_ids = [len(e) for e in library(tokenizer_path).encode_batch_fast(words, add_special_tokens=False)]
     fits = np.array([n < 65536 for n in n_ids])
     slot = (hashes & np.uint64(slots - 1)).astype(np.int64)

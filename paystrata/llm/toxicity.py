@@ -82,7 +82,7 @@ class Model:
         out = np.full(len(offsets) - 1, _sigmoid(self.offset))
         if not len(first):
             return out
-        hashes = hashing.ranges(hashing.running(data, hashing.FOLDED), starts, ends)
+        hashes = hashing.spans(data, hashing.FOLDED, starts, ends)
         value, size = self._words(hashes, data, starts, ends, known)
         logits = np.add.reduceat(value, first) / np.add.reduceat(size, first) + self.offset
         best = np.full(len(offsets) - 1, -np.inf)
@@ -121,7 +121,7 @@ def train(texts: list[str], toxic: list[int], rounds: int = 3, epochs: int = 4,
     data = np.frombuffer(b"".join(raw), np.uint8)
     offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
     starts, ends, first, text = passages(data, offsets)
-    hashes = hashing.ranges(hashing.running(data, hashing.FOLDED), starts, ends)
+    hashes = hashing.spans(data, hashing.FOLDED, starts, ends)
     _, at, word = np.unique(hashes, return_index=True, return_inverse=True)
     buckets, n = word_features(data, starts[at], ends[at])
     begin = np.cumsum(n) - n
