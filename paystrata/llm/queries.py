@@ -221,5 +221,37 @@ FROM counted
 _MINHASH_SQL = _SHINGLE_JOIN_SQL.replace("100 * p.o >= 75 *", "100 * p.o >= 85 *").replace(
     "c.component_id\nFROM documents", "c.component_id,\n    d.doc_id = c.component_id AS kept\nFROM documents")
 
-ORACLE: dict[str, str] = {"op2_shingle_join": _SHINGLE_JOIN_SQL, "op11_minhash": _MINHASH_SQL, "op4_secret_scan": _SECRET_SCAN_SQL,
+_PHRASES_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+words AS (
+    SELECT lang, w, len(w) AS m
+    FROM (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces)
+    WHERE len(w) > 0),
+totals AS (SELECT lang, sum(m)::BIGINT AS n FROM words GROUP BY lang),
+spots AS (SELECT lang, w, m, k, unnest(range(1, m - k + 2)) AS i FROM words, (SELECT unnest(range(1, 6)) AS k) WHERE m >= k),
+counts AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM spots GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (
+    SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS c FROM counts WHERE k > 1),
+scores AS (
+    SELECT u.lang, u.phrase, u.k, u.a, l.f AS l, r.f AS r, t.n, u.c, 1000::HUGEINT * u.a * t.n // (l.f::HUGEINT * r.f) AS score
+    FROM cuts u JOIN counts l ON l.lang = u.lang AND l.phrase = array_to_string(u.w[1:u.c], ' ')
+    JOIN counts r ON r.lang = u.lang AND r.phrase = array_to_string(u.w[u.c + 1:], ' ') JOIN totals t ON t.lang = u.lang),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+inner_ AS (
+    SELECT lang, k - w AS k, array_to_string(string_split(phrase, ' ')[s:s + k - w - 1], ' ') AS phrase, max(f) AS most
+    FROM (SELECT *, unnest(range(1, w + 2)) AS s FROM (SELECT *, unnest(range(1, k - 1)) AS w FROM counts WHERE k > 2))
+    GROUP BY ALL),
+left_ AS (
+    SELECT x.* FROM lowest x LEFT JOIN inner_ y ON y.lang = x.lang AND y.phrase = x.phrase WHERE y.most IS NULL OR y.most < x.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+    score::BIGINT AS score
+FROM left_ QUALIFY rank <= 2000
+"""
+
+ORACLE: dict[str, str] = {"op2_shingle_join": _SHINGLE_JOIN_SQL, "op11_minhash": _MINHASH_SQL,
+                          "op13_phrases": _PHRASES_SQL, "op4_secret_scan": _SECRET_SCAN_SQL,
                           "op5_quality_rules": _QUALITY_RULES_SQL}
