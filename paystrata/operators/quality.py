@@ -43,15 +43,31 @@ def rollup_rules() -> list[Rule]:
     return [Rule("negative_amount", F.col("total_amount") < 0)]
 
 
-def count_bad(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """One row: ``row_count`` and the number of bad rows per rule."""
-    return df.agg(F.count(F.lit(1)).alias("row_count"), *[F.count_if(rule.bad).alias(rule.name) for rule in rules])
+def count_bad(df: DataFrame, rules: list[Rule], unique: str | None = None) -> DataFrame:
+    """One row: ``row_count``, the number of bad rows per rule, and the different values of ``unique``.
+
+    With ``unique`` the rows of a key are counted first and the keys added up, so that a hot key combines in the tasks and
+    no task keeps a set of keys. A missing key is no value.
+    """
+    bad = [F.count_if(rule.bad).alias(rule.name) for rule in rules]
+    if unique is None:
+        return df.agg(F.count(F.lit(1)).alias("row_count"), *bad)
+    per_key = df.groupBy(unique).agg(F.count(F.lit(1)).alias("row_count"), *bad)
+    return per_key.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"),
+                       *[F.coalesce(F.sum(rule.name), F.lit(0)).alias(rule.name) for rule in rules],
+                       F.count(unique).alias("key_count"))
 
 
-def enforce(df: DataFrame, rules: list[Rule], min_rows: int = 0, max_rows: int | None = None) -> dict[str, int]:
-    """Measure in one pass and raise when a rule is broken or the row count is out of bounds."""
-    found = count_bad(df, rules).first().asDict()
+def enforce(df: DataFrame, rules: list[Rule], min_rows: int = 0, max_rows: int | None = None,
+            unique: str | None = None) -> dict[str, int]:
+    """Measure in one pass and raise when a rule is broken, the row count is out of bounds, or ``unique`` is no key.
+
+    A key is unique when every row has one and no two rows share it.
+    """
+    found = count_bad(df, rules, unique).first().asDict()
     faults = [f"{found[rule.name]} rows: {rule.name}" for rule in rules if found[rule.name]]
+    if unique is not None and found.pop("key_count") != found["row_count"]:
+        faults.append(f"{unique} is missing in a row, or in several rows alike")
     if found["row_count"] < min_rows:
         faults.append(f"{found['row_count']} rows, at least {min_rows} expected")
     if max_rows is not None and found["row_count"] > max_rows:

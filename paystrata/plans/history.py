@@ -16,6 +16,19 @@ from paystrata.sources.lake import Lake
 DIMENSIONS = {"dim_customer": "customer_id", "dim_merchant": "merchant_id", "dim_account": "account_id"}
 
 
+def _require_owners(accounts: DataFrame, customers: Changes | None) -> None:
+    """Every new account has a reference of its own and belongs to a customer added the same day."""
+    require_refs(accounts)
+    owned = accounts.select(F.col("customer_ref").cast("string").alias("customer_ref"))
+    if customers is None or customers.adds is None:
+        stray = owned.count()
+    else:
+        known = customers.adds.select(F.col("ref").cast("string").alias("customer_ref"))
+        stray = owned.join(known, "customer_ref", "left_anti").count()
+    if stray:
+        raise QualityError(f"{stray} new accounts name no customer that is added")
+
+
 class DimensionHistory:
     """``history/dt=<day>/<table>``: the dimensions as they were before the changes of that day."""
 
@@ -61,14 +74,16 @@ class DimensionHistory:
                    new_accounts: DataFrame | None = None) -> None:
         """Apply one day's changes; running the day again gives the same tables.
 
-        ``new_accounts`` belong to new customers and name them by ``customer_ref``, the ``ref`` of the added row.
+        ``new_accounts`` belong to new customers and name them by ``customer_ref``, the ``ref`` of the added row. An
+        account that names none of them is an error, found before anything is written, as are accounts without new customers.
         """
         day = parse_day(day).isoformat()
+        if new_accounts is not None:
+            _require_owners(new_accounts, customers)
         self.base_for(day)
         before = with_status(self.lake.read("dim_customer"))
         if customers:
             if new_accounts is not None:
-                require_refs(new_accounts)
                 owners = number_new(before, customers.adds, "customer_id").select(
                     F.col("ref").alias("customer_ref"), "customer_id")
                 known = self.lake.read("dim_account")

@@ -345,6 +345,18 @@ FROM ({_EVOLVED_CUSTOMERS})
 UNION ALL SELECT merchant_id, category, region, status, NULL, risk_level FROM ({_EVOLVED_MERCHANTS})
 UNION ALL SELECT account_id, account_type, NULL, NULL, {_time('open_time')}, customer_id FROM ({_EVOLVED_ACCOUNTS})"""),
 
+    "dim_repeated_keys": _with(["tx", "cust", "merch"], f"""
+, c AS (SELECT n, customer_id, CASE WHEN n % 3 = 0 THEN 'V4' ELSE level END AS level,
+               CASE WHEN n % 5 = 0 AND n % 3 <> 0 THEN 'DELETED' ELSE status END AS status,
+               CASE WHEN n % 3 = 0 THEN register_time + INTERVAL 1 DAY ELSE register_time END AS register_time FROM cust),
+  m AS (SELECT merchant_id, category, CASE WHEN n % 5 = 0 THEN 'DELETED' ELSE status END AS status FROM merch)
+SELECT 'dim_customer' AS table_name, customer_id AS id, level AS kind, status, {_time('register_time')} AS since FROM c
+UNION ALL SELECT 'dim_merchant', merchant_id, category, status, NULL FROM m
+UNION ALL SELECT 'lookup_customer', 'dim:customer:' || customer_id, level, status, NULL FROM c
+UNION ALL SELECT 'dwd_transaction', t.transaction_id, c.level, m.category, {_time('c.register_time')}
+FROM tx t LEFT JOIN c USING (customer_id) LEFT JOIN m USING (merchant_id)
+WHERE CAST(t.event_time AS DATE) = DATE '2026-09-04' AND t.amount > 0
+"""),
     "warehouse_days": _with(["tx", "cust", "merch"], f"""
 , days AS (SELECT *, CAST(event_time AS DATE) AS dt FROM tx
     WHERE CAST(event_time AS DATE) BETWEEN DATE '2026-09-03' AND DATE '2026-09-04'),

@@ -210,6 +210,38 @@ def warehouse_days(spark, sf_dir):
     return quality.stacked([*by_day, *whole])
 
 
+def _repeated(rows: DataFrame, pk: str) -> DataFrame:
+    """Every third row again with a later register time and another level, every fifth again as deleted."""
+    number, later = id_number(pk), rows
+    if "register_time" in rows.columns:
+        later = rows.withColumns({"register_time": F.col("register_time") + F.expr("INTERVAL 1 DAY"), "level": F.lit("V4")})
+    return rows.union(later.filter(number % 3 == 0)).union(rows.withColumn("status", F.lit("DELETED")).filter(number % 5 == 0))
+
+
+@query
+def dim_repeated_keys(spark, sf_dir):
+    """Master files that repeat customers and merchants: each is one row of its dimension and adds no transaction."""
+    house = _house(spark, sf_dir)
+    master = house.sources["master"]
+    _repeated(samples.customers(spark, sf_dir), "customer_id").write.mode("overwrite").parquet(f"{master}/dim_customer.parquet")
+    _repeated(samples.merchants(spark, sf_dir), "merchant_id").write.mode("overwrite").parquet(f"{master}/dim_merchant.parquet")
+    for name in ("ods_customer", "ods_merchant", "ods_transaction", "dim_customer", "dim_merchant", "dwd_transaction",
+                 "lookup_customer", "lookup_merchant"):
+        run_table(house, name, DAY)
+    nothing = F.lit(None).cast("string")
+    read = house.lake.read
+    return quality.stacked([
+        read("dim_customer").select(F.lit("dim_customer").alias("table_name"), F.col("customer_id").alias("id"),
+                                    F.col("level").alias("kind"), "status", F.col("register_time").alias("since")),
+        read("dim_merchant").select(F.lit("dim_merchant"), "merchant_id", "category", "status", F.lit(None).cast("timestamp"))
+        .toDF("table_name", "id", "kind", "status", "since"),
+        read("dwd_transaction").select(F.lit("dwd_transaction"), "transaction_id", "customer_level", "merchant_category",
+                                       "customer_register_time").toDF("table_name", "id", "kind", "status", "since"),
+        read("lookup_customer").select(F.lit("lookup_customer"), "key", F.col("data")["level"], F.col("data")["status"],
+                                       F.lit(None).cast("timestamp")).toDF("table_name", "id", "kind", "status", "since"),
+    ])
+
+
 @query
 def customer_stats(spark, sf_dir):
     return serving.customer_stats(_online(spark, sf_dir))

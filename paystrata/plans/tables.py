@@ -77,8 +77,10 @@ def _ods_dimension(house: Warehouse, name: str, day: str | None) -> dict[str, in
 
 
 def _dimension(house: Warehouse, name: str, day: str | None) -> dict[str, int]:
-    clean = dimensions.dim_customer if name == "dim_customer" else dimensions.dim_merchant
-    return house.lake.replace_table(clean(house.lake.read(name.replace("dim", "ods"))), name, min_rows=1)
+    """One row per key: source files may repeat a customer or merchant, and every join below counts on one."""
+    clean, pk = dimensions.dim_customer if name == "dim_customer" else dimensions.dim_merchant, dimensions.KEYS[name]
+    rows = dimensions.one_per_key(clean(house.lake.read(name.replace("dim", "ods"))), pk)
+    return house.lake.replace_table(rows, name, min_rows=1, unique=pk)
 
 
 def _detail(house: Warehouse, name: str, day: str) -> dict[str, int]:

@@ -165,13 +165,16 @@ class Lake:
         (writer.partitionBy("dt") if by_day else writer).parquet(f"{self.root}/{path}")
 
     def replace_table(self, df: DataFrame, table: str, rules: list[Rule] | None = None,
-                      min_rows: int = 0) -> dict[str, int]:
-        """Write a new version of the whole table, check it, publish it; returns what the check counted."""
+                      min_rows: int = 0, unique: str | None = None, max_rows: int | None = None) -> dict[str, int]:
+        """Write a new version of the whole table, check it, publish it; returns what the check counted.
+
+        With ``unique``, a table in which two rows have the same key, or one has none, is not published.
+        """
         rows, number = conform(df, table), self._next(table)
         by_day = "dt" in rows.columns
         self._write(rows, table, f"{table}/w={number}", by_day)
         folders = self._written(table, number, by_day)
-        found = enforce(self._load(table, folders), rules or [], min_rows)
+        found = enforce(self._load(table, folders), rules or [], min_rows, max_rows, unique)
         self._publish(table, number, folders)
         return found
 

@@ -6,12 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from paystrata.operators import pools
+from paystrata.operators.dimensions import one_per_key
 from paystrata.operators.evolve import Changes, evolve, number_new
 from paystrata.operators.quality import QualityError
 from paystrata.operators.staging import with_status
 from paystrata.plans.history import DimensionHistory
 from paystrata.sources.lake import Lake
-from paystrata.sources.lookup import lookup, publish_lookup, to_lookup, verify_lookup
+from paystrata.sources.lookup import lookup, publish_lookup, to_lookup
 
 T = datetime(2025, 1, 1)
 SCHEMA = "customer_id string, level string, region string, register_time timestamp, status string"
@@ -123,9 +124,43 @@ def test_lookup_tells_missing_keys_from_empty_fields(spark, tmp_path, customers)
                                                                         F.size("c").alias("n")).collect()}
     assert found["a"].region == "" and found["b"].region is None and found["d"].region == "north"
     assert (found["b"].n, found["c"].n) == (0, 0)
-    doubled = to_lookup(customers.unionAll(customers), "customer_id", "dim:customer:")
-    with pytest.raises(QualityError):
-        verify_lookup(doubled, "dim:customer:", customers.unionAll(customers))
+    before = sorted(map(str, lake.read("lookup_customer").collect()))
+    nameless = customers.withColumn("customer_id", F.when(F.col("customer_id") != "C7", F.col("customer_id")))
+    for wrong in (customers.unionAll(customers.limit(1)), nameless, customers.limit(0)):
+        with pytest.raises(QualityError):
+            publish_lookup(lake, wrong, "lookup_customer", "customer_id", "dim:customer:")
+        assert sorted(map(str, lake.read("lookup_customer").collect())) == before       # the failed one never went live
+
+
+def test_a_repeated_key_is_one_row_and_never_published_twice(spark, tmp_path, customers):
+    later, gone = T.replace(day=2), "DELETED"
+    rows = customers.union(spark.createDataFrame([("C5", "V4", "east", later, "ACTIVE"), ("C12", "V1", "west", T, gone),
+                                                  ("C5", "V2", "north", T, gone)], SCHEMA)).union(customers)
+    found = {r.customer_id: (r.level, r.status) for r in one_per_key(rows, "customer_id").collect()}
+    assert found == {"C5": ("V4", "ACTIVE"), "C12": ("V1", gone), "C7": ("V3", gone)}
+    assert one_per_key(rows, "customer_id").count() == 3
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.replace_table(one_per_key(rows, "customer_id"), "dim_customer", unique="customer_id")
+    with pytest.raises(QualityError, match="customer_id"):
+        lake.replace_table(rows, "dim_customer", unique="customer_id")
+    assert lake.read("dim_customer").count() == 3
+
+
+def test_accounts_without_a_new_owner_stop_the_day(spark, tmp_path, customers):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.replace_table(customers, "dim_customer")
+    kind = "account_id string, customer_id string, account_type string, open_time timestamp"
+    lake.replace_table(spark.createDataFrame([("A1", "C5", "SAVINGS", T)], kind), "dim_account")
+    opened = spark.createDataFrame([("a0", "ref0", "SAVINGS", T), ("a1", "ref9", "SAVINGS", T)],
+                                   "ref string, customer_ref string, account_type string, open_time timestamp")
+    history = DimensionHistory(lake)
+    for changes in (Changes(adds(spark, 2)), None, Changes(deletes=spark.createDataFrame([("C12",)], ["customer_id"]))):
+        with pytest.raises(QualityError, match="accounts name no customer"):
+            history.evolve_day("2026-09-04", changes, None, opened)
+    assert history.days() == [] and lake.read("dim_account").count() == 1 and lake.read("dim_customer").count() == 3
+    history.evolve_day("2026-09-04", Changes(adds(spark, 2)), None, opened.filter("ref = 'a0'"))
+    owners = {r.account_id: r.customer_id for r in lake.read("dim_account").collect()}
+    assert len(owners) == 2 and set(owners.values()) <= {"C5", "C13", "C14"}
 
 
 def test_an_add_without_a_reference_is_refused(spark):
