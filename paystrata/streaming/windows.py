@@ -1,8 +1,12 @@
-"""Event-time windows per customer."""
+"""Event-time windows per customer, from panes.
+
+A pane is a window as long as the slide. Rows are reduced once, to panes; windows are then made of panes, by aggregates that
+follow each other on the panes' own event time. Results leave once the watermark has passed the end of a window.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paystrata.functions.columns import large_amount
@@ -17,12 +21,17 @@ _DISTINCT = {"transaction_count": "transaction_id", "merchant_count": "merchant_
              "currency_count": "currency", "txn_type_count": "transaction_type"}
 
 
-def window_agg(df: DataFrame, window_type: str, size: str, slide: str | None = None) -> DataFrame:
-    """Totals per window and customer; on a stream, give ``df`` a watermark and use append mode.
+#: What is kept of the rows of a group, and how it is merged.
+_MERGED = {"total": F.sum, "amounts": F.sum, "largest": F.max, "smallest": F.min, "high": F.sum, "large": F.sum,
+           "first": F.min, "last": F.max}
+
+
+def panes(df: DataFrame, pane: str) -> DataFrame:
+    """Per pane (``window``), customer, counted column and value: the measures of its rows.
 
-    The five exact distinct counts are taken in two grouped steps: first by window, customer, counted column and
-    value, then by window and customer. The first step spreads even one hot customer over all tasks and keeps its
-    state in many small rows; the second gets one row per distinct value, combined before its shuffle.
+    This is all that is computed on rows. A row is five members before the first shuffle, one for each distinct count,
+    however many windows it is in; members of one pane and value combine in the tasks. A hot customer is spread over all
+    tasks by the values, and its state is many small rows.
     """
     rows = df.filter((F.col("amount") > 0) & F.col("customer_id").isNotNull())
     nothing = F.lit(None)
@@ -34,38 +43,63 @@ def window_agg(df: DataFrame, window_type: str, size: str, slide: str | None = N
             (F.col("amount") if carries else nothing.cast(df.schema["amount"].dataType)).alias("amount"),
             (F.coalesce(F.col("merchant_risk_level") == "HIGH", F.lit(False)) if carries else F.lit(False))
             .alias("high_risk")))
-    span = F.window("event_time", size, slide) if slide else F.window("event_time", size)
-
-    per_value = (rows.select("event_time", "customer_id", F.inline(F.array(*members)))
-                 .groupBy(span.alias("window"), "customer_id", "counted", "value")
-                 .agg(F.sum("amount").alias("total"), F.count("amount").alias("amounts"),
-                      F.max("amount").alias("largest"), F.min("amount").alias("smallest"),
-                      F.count_if("high_risk").alias("high"), F.sum(large_amount(F.col("amount"))).alias("large"),
-                      F.min("event_time").alias("first"), F.max("event_time").alias("last")))
-    counts = [F.count_if((F.col("counted") == column) & F.col("value").isNotNull()).alias(name)
+    return (rows.select("event_time", "customer_id", F.inline(F.array(*members)))
+            .groupBy(F.window("event_time", pane).alias("window"), "customer_id", "counted", "value")
+            .agg(F.sum("amount").alias("total"), F.count("amount").alias("amounts"),
+                 F.max("amount").alias("largest"), F.min("amount").alias("smallest"),
+                 F.count_if("high_risk").alias("high"), F.sum(large_amount(F.col("amount"))).alias("large"),
+                 F.min("event_time").alias("first"), F.max("event_time").alias("last")))
+
+
+def _totals(window_type: str, window: Column, among: Column | None = None, prefix: str = "") -> Column:
+    """The aggregate that makes an output row from the per-value rows among which a condition holds, one for each value."""
+    among = F.lit(True) if among is None else among
+    of = {name: merge(F.when(among, F.col(f"{prefix}{name}"))) for name, merge in _MERGED.items()}
+    counts = [F.count_if(among & (F.col("counted") == column) & F.col("value").isNotNull()).alias(name)
               for name, column in _DISTINCT.items()]
-    per_window = per_value.groupBy("window", "customer_id").agg(
-        F.sum("total").alias("sum_amount"), F.sum("amounts").alias("amounts"), F.max("largest").alias("max_amount"),
-        F.min("smallest").alias("min_amount"), *counts, F.sum("high").alias("high_risk_txn_count"),
-        F.sum("large").cast(MONEY).alias("large_txn_amount"), F.min("first").alias("first_txn_time"),
-        F.max("last").alias("last_txn_time"))
-    return per_window.withColumns({
-        "window_type": F.lit(window_type),
-        "window_start": F.col("window.start"),
-        "window_end": F.col("window.end"),
-        "total_amount": F.col("sum_amount").cast(MONEY),
-        "avg_amount": F.try_divide(F.col("sum_amount").cast("double"), F.col("amounts")),
-    }).select(*REALTIME_AGG.names)
+    made = {"window_type": F.lit(window_type), "window_start": window["start"], "window_end": window["end"],
+            "total_amount": of["total"].cast(MONEY),
+            "avg_amount": F.try_divide(of["total"].cast("double"), of["amounts"]), "max_amount": of["largest"],
+            "min_amount": of["smallest"], "high_risk_txn_count": of["high"], "large_txn_amount": of["large"].cast(MONEY),
+            "first_txn_time": of["first"], "last_txn_time": of["last"], "customer_id": F.col("customer_id")}
+    named = {**{name: column.alias(name) for name, column in made.items()}, **dict(zip(_DISTINCT, counts))}
+    return F.struct(*[named[name].cast(REALTIME_AGG[name].dataType).alias(name) for name in REALTIME_AGG.names])
+
+
+def _spanned(df: DataFrame, size: str, slide: str) -> DataFrame:
+    """The panes of ``df`` in all windows of ``size`` that hold them (``span``)."""
+    return panes(df, slide).select("*", F.window("window", size, slide).alias("span"))
 
 
 def tumbling(df: DataFrame, size: str = TUMBLE) -> DataFrame:
-    return window_agg(df, "TUMBLE", size)
+    """Totals per window and customer; on a stream, give ``df`` a watermark and use append mode."""
+    found = panes(df, size).groupBy("window", "customer_id").agg(_totals("TUMBLE", F.col("window")).alias("out"))
+    return found.select("out.*")
 
 
 def hopping(df: DataFrame, size: str = HOP[0], slide: str = HOP[1]) -> DataFrame:
-    return window_agg(df, "HOP", size, slide)
+    """Totals per overlapping window and customer, from panes of ``slide``, of which ``size`` is a multiple."""
+    per_value = _spanned(df, size, slide).groupBy("span", "customer_id", "counted", "value").agg(
+        *[merge(name).alias(name) for name, merge in _MERGED.items()])
+    return per_value.groupBy("span", "customer_id").agg(_totals("HOP", F.col("span")).alias("out")).select("out.*")
 
 
 def both_windows(df: DataFrame) -> DataFrame:
-    """Tumbling and hopping results in one frame, told apart by ``window_type``."""
-    return tumbling(df).unionByName(hopping(df))
+    """Tumbling and hopping results in one frame, told apart by ``window_type``, from one set of panes.
+
+    A tumbling window is the newest pane of the hopping window that ends with it, so one row of the last aggregate gives
+    both: there is one state for each step, not one for each shape.
+    """
+    if TUMBLE != HOP[1]:
+        raise ValueError("a tumbling window must be as long as the hopping windows' slide")
+    newest = F.col("window.end") == F.col("span.end")
+    per_value = _spanned(df, *HOP).groupBy("span", "customer_id", "counted", "value").agg(
+        *[merge(name).alias(name) for name, merge in _MERGED.items()],
+        *[merge(F.when(newest, F.col(name))).alias(f"new_{name}") for name, merge in _MERGED.items()],
+        F.max(newest).alias("new"))
+    end = F.col("span")["end"]
+    pane = F.struct((end - F.expr(f"INTERVAL {TUMBLE}")).alias("start"), end.alias("end"))
+    found = per_value.groupBy("span", "customer_id").agg(
+        _totals("HOP", F.col("span")).alias("hop"),
+        _totals("TUMBLE", pane, F.col("new"), "new_").alias("tumble"), F.max("new").alias("new"))
+    return found.select(F.inline(F.when(F.col("new"), F.array("hop", "tumble")).otherwise(F.array("hop"))))
