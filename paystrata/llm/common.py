@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paystrata.session import scratch_dir
+from paystrata.sources.files import Folder
 
 #: Bytes of text that a task looks at in one go; a longer text is looked at alone.
 BLOCK_BYTES = 1 << 20
@@ -51,7 +52,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.scratch_path = path
+    return written
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``stored`` wrote for these frames. For results that nothing will read again, also not anew."""
+    for frame in frames:
+        Folder(frame.sparkSession, frame.scratch_path).delete("")
 
 
 def pick(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -118,5 +127,13 @@ def _arrow_type(kind: T.DataType) -> pa.DataType:
     return simple[kind.simpleString()]
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """A column name like ``name`` that is not taken, in any case of letters."""
+    lowered = {t.lower() for t in taken}
+    while name.lower() in lowered:
+        name = f"_{name}"
+    return name
+
+
 def field(name: str, kind: T.DataType) -> T.StructField:
     return T.StructField(name, kind)

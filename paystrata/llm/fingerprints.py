@@ -163,7 +163,7 @@ def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     """One row per document: the fingerprints of its text and of its edited text, and how alike they and the next are.
 
     The next document is that with the next higher id; the last is followed by the first, a lone one by itself. A null
-    text is an empty one. Rows that repeat an id follow each other in the order of their texts. A row without an id has
+    text is an empty one, bytes that are no UTF-8 count as U+FFFD. Rows that repeat an id follow each other in the order of their texts. A row without an id has
     no next document: an empty text takes its place. An empty table gives no rows.
     """
     ship(docs.sparkSession)
@@ -186,7 +186,7 @@ def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     def alone(batches):
         for batch in batches:
             rows = [one(i, t, anchors(t.encode(), k, s), "", anchors(b""))
-                    for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+                    for i, t in zip(batch.column(0).to_pylist(), _decoded(batch.column(1)))]
             yield _batch(rows)
 
     with_next = in_id_order(texts).mapInArrow(lambda batches: _batched(run(batches)), SCHEMA)
@@ -196,7 +196,13 @@ def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
 
 def _rows(batches):
     for batch in batches:
-        yield from zip(*[c.to_pylist() for c in batch.columns])
+        part, doc_id, text, own = batch.columns
+        yield from zip(part.to_pylist(), doc_id.to_pylist(), _decoded(text), own.to_pylist())
+
+
+def _decoded(texts) -> list[str]:
+    """The texts of a column; bytes that are no UTF-8 are read as U+FFFD."""
+    return [t.decode("utf-8", "replace") for t in texts.view(pa.binary()).to_pylist()]
 
 
 def _batched(rows, size: int = 500):

@@ -6,10 +6,11 @@ languages votes, and the sum of the votes' confidences decides. A family of one
 
 Families are a table of closely related languages (``FAMILIES``); a language that is not in it is a family of its own.
 
-Both steps choose among learned languages only, so a last step asks whether the text looks like the chosen one at all: how
-many bits a letter run its learned texts explain this text better than an even spread over all features does. A text that
-falls short of the median learned text of that language (each explained by the others) by more than ``BITS_SHORT`` is in
-no learned language: ``und``.
+Both steps choose among learned languages only, and always answer with one. Whether the text looks like that language at all is
+asked where texts are to be rejected (``with_language``): how many bits a letter run its learned texts explain this text better
+than an even spread over all features does. A text that falls short of the median learned text of that language (each
+explained by the others) by more than ``bits_short`` is in no learned language. That bound is wider for a text of few letter
+runs, whose mean varies more.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paystrata.llm.common import annotate, field, fold, pick, ship
+from paystrata.llm.common import annotate, field, fold, free_name, pick, ship
 
 FAMILIES = {
     "germanic": ("de", "nl", "en", "sv", "da", "no", "af", "lb", "is"),
@@ -37,10 +38,11 @@ FAMILIES = {
 FEATURES = 4096
 LEARN_FROM = 400
 UNDETERMINED = "und"
-#: The part of a language's letter runs that is taken as evenly spread, for runs its learned texts lack; and the bits a letter
-#: run that a text may fall short. Of clean held-out texts the worst fall 2.3 bits short, other scripts 4 to 8.
+#: The part of a language's letter runs that is taken as evenly spread, for runs its learned texts lack; the bits a letter run
+#: that a long text may fall short, and what is added for a text of one letter, falling with the root of their number.
 EVEN = 0.05
 BITS_SHORT = 2.5
+MORE_BITS_SHORT = 6.0
 
 FIELDS = [field("lang_pred", T.StringType()), field("score", T.DoubleType())]
 
@@ -86,14 +88,13 @@ class Model:
     family_weights: np.ndarray = data_field(default_factory=lambda: np.zeros((FEATURES + 1, 0)))
     pairs: dict[tuple[str, str], np.ndarray] = data_field(default_factory=dict)
     bits: np.ndarray = data_field(default_factory=lambda: np.zeros((0, FEATURES), np.float32))
-    least_bits: np.ndarray = data_field(default_factory=lambda: np.zeros(0))
+    usual_bits: np.ndarray = data_field(default_factory=lambda: np.zeros(0))
 
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
-        """The language of each row and a score from 0 to 1; ``und`` and 0 where the row is not like that language."""
+        """The learned language of each row and a score from 0 to 1; ``und`` and 0 only if none was learned."""
         n = len(x)
         if not self.languages:
             return [UNDETERMINED] * n, np.zeros(n)
-        shares = x
         x = np.hstack([x, np.ones((n, 1), np.float32)])
         likely = _softmax(x @ self.family_weights)
         family = likely.argmax(axis=1)
@@ -110,13 +111,21 @@ class Model:
             out[rows] = np.array(members, object)[best]
             if len(members) > 1:
                 score[rows] *= votes[np.arange(len(rows)), best] / (len(members) - 1)
-        at = np.searchsorted(np.array(self.languages, object), out)
-        strange = np.round(np.einsum("ij,ij,ij->i", shares, shares, self.bits[at]), 3) < self.least_bits[at]
-        out[strange], score[strange] = UNDETERMINED, 0
         # a row's sums may differ in the last bits with the rows around it; equal texts are to score alike
         return out.tolist(), np.round(np.clip(score, 0, 1), 5)
 
 
+    def shortfall(self, x: np.ndarray, languages: list[str]) -> np.ndarray:
+        """By how many bits a letter run each row falls short of the usual text of its language."""
+        at = np.searchsorted(np.array(self.languages, object), np.array(languages, object))
+        return self.usual_bits[at] - np.round(np.einsum("ij,ij,ij->i", x, x, self.bits[at]), 3)
+
+
+def bits_short(letters: np.ndarray) -> np.ndarray:
+    """The shortfall that a text with so many letters may have."""
+    return BITS_SHORT + MORE_BITS_SHORT / np.sqrt(np.maximum(letters, 1))
+
+
 def _softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
@@ -159,14 +168,14 @@ def _explained(shares: np.ndarray) -> np.ndarray:
 
 
 def likeness_to_own(x: np.ndarray) -> tuple[np.ndarray, float]:
-    """The bits of a language's features, and the least bits a text of it has; one learned text alone sets no bound."""
+    """The bits of a language's features, and those of its median text; one learned text alone sets no bound."""
     shares = x.astype(float) ** 2
     total, n = shares.sum(axis=0), len(x)
     bits = _explained(total / n).astype(np.float32)
     if n < 2:
         return bits, -np.inf
     by_others = [row @ _explained(np.maximum(total - row, 0) / (n - 1)) for row in shares]
-    return bits, float(np.median(by_others)) - BITS_SHORT
+    return bits, float(np.median(by_others))
 
 
 def train(x: np.ndarray, labels: list[str]) -> Model:
@@ -180,7 +189,7 @@ def train(x: np.ndarray, labels: list[str]) -> Model:
     own = [likeness_to_own(x[y == m]) for m in languages]
     x = np.hstack([x, np.ones((len(x), 1), np.float32)])
     family_of = {m: k for k, members in enumerate(families) for m in members}
-    model = Model(languages, families, bits=np.array([b for b, _ in own]), least_bits=np.array([t for _, t in own]))
+    model = Model(languages, families, bits=np.array([b for b, _ in own]), usual_bits=np.array([t for _, t in own]))
     model.family_weights = train_softmax(x, np.array([family_of[m] for m in labels]), len(families))
     for members in families:
         for i, one in enumerate(members):
@@ -226,40 +235,56 @@ def learned(docs: DataFrame, train_on, id_col: str = "doc_id", text_col: str = "
     return train(x, [r["lang"] for r in chosen])
 
 
-def _labelled(texts: DataFrame, text_col: str, model: Model, pred: str, score: str) -> DataFrame:
+def _labelled(texts: DataFrame, text_col: str, model: Model, pred: str, score: str, strange: str | None = None) -> DataFrame:
+    """``texts`` with a predicted language and its score, and, if asked for, whether the text is unlike that language."""
     shared = texts.sparkSession.sparkContext.broadcast(model)
 
     def compute():
         def block(data, offsets):
-            labels, scores = [], []
+            labels, scores, unlike = [], [], []
+            letters = np.concatenate([[0], np.cumsum(_LETTER[data] > 0)])
             for a in range(0, len(offsets) - 1, 256):       # 256 rows of features are 4 MB
                 part = offsets[a:a + 257]
-                own = shared.value.predict(features(data[part[0]:part[-1]], part - part[0]))
+                x = features(data[part[0]:part[-1]], part - part[0])
+                own = shared.value.predict(x)
                 labels += own[0]
                 scores.append(own[1])
-            return [labels, np.concatenate([*scores, np.zeros(0)])]
+                if strange and shared.value.languages:
+                    unlike.append(shared.value.shortfall(x, own[0]) > bits_short(np.diff(letters[part])))
+            found = [labels, np.concatenate([*scores, np.zeros(0)])]
+            return [*found, np.concatenate([*unlike, np.zeros(0, bool)]) if unlike else [False] * len(labels)]
         return block
 
     readable = F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False))
-    raw = annotate(texts, text_col, compute, [field("_lang", T.StringType()), field("_score", T.DoubleType())])
-    return raw.withColumn(pred, F.when(readable, F.col("_lang")).otherwise(UNDETERMINED)).withColumn(
-        score, F.when(readable, F.col("_score")).otherwise(0.0)).drop("_lang", "_score")
+    made = {name: free_name(texts.columns, name) for name in ("lang", "score", "unlike")}
+    raw = annotate(texts, text_col, compute, [field(made["lang"], T.StringType()), field(made["score"], T.DoubleType()),
+                                              field(made["unlike"], T.BooleanType())])
+    out = raw.withColumn(pred, F.when(readable, F.col(made["lang"])).otherwise(UNDETERMINED)).withColumn(
+        score, F.when(readable, F.col(made["score"])).otherwise(0.0))
+    if strange:
+        out = out.withColumn(strange, F.col(made["unlike"]) | ~readable)
+    return out.drop(*made.values())
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, lang_pred, score.
 
-    A null or empty text, or one without a letter, is ``und`` with score 0; so is a text unlike every learned language, and
-    every text if nothing was learned.
+    A null or empty text, or one without a letter, is ``und`` with score 0; so is every text if nothing was learned. Every
+    other text has a learned language.
     Repeated rows get the same answer, null ids are kept. An empty table gives no rows.
     """
     return _labelled(pick(docs, id_col, text_col), "text", model, "lang_pred", "score").drop("text")
 
 
 def with_language(docs: DataFrame, model: Model, min_score: float, text_col: str = "text") -> DataFrame:
-    """The documents whose language is determined with at least this score, with all their columns."""
-    found = _labelled(docs, text_col, model, "_pred", "_sure")
-    return found.filter((F.col("_pred") != UNDETERMINED) & (F.col("_sure") >= min_score)).select(*docs.columns)
+    """The documents that are in a learned language with at least this score, with all their columns.
+
+    Documents without text or letters go, and those that are unlike every learned language.
+    """
+    pred, sure, strange = (free_name(docs.columns, name) for name in ("pred", "sure", "strange"))
+    found = _labelled(docs, text_col, model, pred, sure, strange)
+    kept = found.filter((F.col(pred) != UNDETERMINED) & (F.col(sure) >= min_score) & ~F.col(strange))
+    return kept.select(*[F.col(f"`{name}`") for name in docs.columns])
 
 
 def trained_rows(id_col: str = "doc_id"):

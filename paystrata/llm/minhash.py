@@ -3,13 +3,15 @@
 Two documents link when ``100 * |A & B| >= percent * |A | B|`` over their shingle sets.
 
 1. **Signatures.** ``BANDS * ROWS`` universal hash functions ``(a * x + b) mod 2**64`` of the shingles, the smallest value of each.
-   Documents of one set form a class, named by its smallest id; only classes go on.
-2. **Bands.** Each band of ``ROWS`` minima is a key; classes with a common key form a list. Of two sets that link, with a
-   likeness of 0.85, a pair misses all 32 bands of 4 about once in 10^10.
+   What goes on are the keys of the bands and a byte of each of the first ``SIGNATURE`` minima. Documents of one set form a
+   class, named by its smallest id; only classes go on.
+2. **Bands.** Each band of ``ROWS`` minima is a key; classes with a common key form a list. A pair of a likeness of just 0.85
+   misses all 36 bands of 6 about once in 25 million, others that link less often; unlike texts seldom meet.
 3. **Pairs.** A list of at most ``SHORT`` classes gives all its pairs. A longer one gives its *pivot* against the others, once; the
    pivot is the class that meets most others in all its lists, so that of an original and its copies it is the original.
-4. **Verification.** A pair goes on if its signatures agree in ``LEAST_AGREEING`` of all minima (links fall below with a probability
-   of 10^-7), and is then confirmed on both whole shingle sets.
+4. **Verification.** A pair goes on if its signatures agree often enough (links fall below with a probability of 10^-7), and is
+   then confirmed on both whole shingle sets, which are made from the texts for such pairs only: a bit filter on ids,
+   sized by their number, tells the texts.
 5. **Long lists that still hold several components** form groups by their members. The most met member of a group is compared with
    all others. What then lies outside the group's largest component is a set of queries, in blocks of bounded size; all members
    of the group come to each block, are compared by signatures, and the rest on whole sets. Links come out, one for two
@@ -26,14 +28,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paystrata.llm import hashing
-from paystrata.llm.common import pick, stored, text_blocks
+from paystrata.llm.bits import filter_of
+from paystrata.llm.common import discard, pick, stored, text_blocks
 
 WORDS = 5
 PERCENT = 85
-BANDS = 32
-ROWS = 4
+BANDS = 36
+ROWS = 6
+#: Minima of which a byte is kept for verification.
+SIGNATURE = 128
 #: Classes of a list of which all pairs are looked at.
-SHORT = 12
+SHORT = 8
 #: Standard deviations below the expected number of agreeing minima at which a pair is given up.
 SLACK = 5.2
 #: Pairs of one pivot to a group.
@@ -49,7 +54,7 @@ _B = _random.integers(0, 1 << 63, 1024, dtype=np.uint64)
 
 SCANNED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()),
                         T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType()),
-                        T.StructField("signature", T.BinaryType())])
+                        T.StructField("bands", T.BinaryType()), T.StructField("signature", T.BinaryType())])
 
 
 def least_agreeing(minima: int, percent: int = PERCENT) -> int:
@@ -82,58 +87,68 @@ def signature(shingles: np.ndarray, minima: int = BANDS * ROWS) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
+def band_keys(minima: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """A key for each band."""
+    weights = np.arange(1, rows + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F) | np.uint64(1)
+    mixed = hashing.mix(minima.astype(np.uint64).reshape(bands, rows))
+    return hashing.mix((mixed * weights).sum(axis=1, dtype=np.uint64) ^ hashing.mix(np.arange(1, bands + 1, dtype=np.uint64)))
+
+
 def _digest(shingles: np.ndarray) -> tuple[int, int]:
     """128 bits of a set, as two signed numbers."""
     one, two = hashing.mix(shingles), hashing.mix(shingles ^ np.uint64(0x5851F42D4C957F2D))
     return int(one.sum(dtype=np.uint64).view(np.int64)), int(two.sum(dtype=np.uint64).view(np.int64))
 
 
-def _scan(texts: DataFrame, words: int, minima: int) -> DataFrame:
+def _scan(texts: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
+    def one(shingles):
+        minima = signature(shingles, bands * rows)
+        keys = band_keys(minima, bands, rows).tobytes() if len(minima) else b""
+        return len(shingles), *_digest(shingles), keys, minima[:SIGNATURE].astype(np.uint8).tobytes()
+
     def run(batches):
         for batch in batches:
-            rows = []
+            found = []
             for _, _, data, offsets in text_blocks(batch.column(1)):
-                rows += [(len(s), *_digest(s), signature(s, minima).tobytes()) for s in text_shingles(data, offsets, words)]
-            n, one, two, signatures = zip(*rows) if rows else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()),
-                                              pa.array(two, pa.int64()), pa.array(signatures, pa.binary())],
-                                             names=SCANNED.names)
+                found += [one(s) for s in text_shingles(data, offsets, words)]
+            columns = zip(*found) if found else [()] * 5
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *[pa.array(c, k) for c, k in zip(columns, [pa.int64()] * 3 + [pa.binary()] * 2)]],
+                names=SCANNED.names)
 
     return texts.mapInArrow(run, SCANNED)
 
 
-def _banded(classes: DataFrame, bands: int, rows: int) -> DataFrame:
+def _banded(classes: DataFrame, bands: int) -> DataFrame:
     """(list, node, n, component): one row for each band of each class; each is a component of its own as yet."""
 
     def run(batches):
-        weights = np.arange(1, rows + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F) | np.uint64(1)
-        salts = hashing.mix(np.arange(1, bands + 1, dtype=np.uint64))
         for batch in batches:
-            count = batch.num_rows
-            if not count:
-                continue
-            minima = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).reshape(count, bands, rows)
-            keys = hashing.mix((hashing.mix(minima.astype(np.uint64)) * weights).sum(axis=2, dtype=np.uint64) ^ salts)
+            keys = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64).reshape(-1)), pa.array(np.repeat(batch.column(0).to_numpy(), bands)),
+                [pa.array(keys), pa.array(np.repeat(batch.column(0).to_numpy(), bands)),
                  pa.array(np.repeat(batch.column(1).to_numpy(), bands))], names=["list", "node", "n"])
 
-    return (classes.select("node", "n", "signature").mapInArrow(run, "list long, node long, n long")
+    return (classes.select("node", "n", "bands").mapInArrow(run, "list long, node long, n long")
             .withColumn("component", F.col("node")))
 
 
 def _sets(texts: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """(node, shingles) of the named documents; rows that repeat an id have a row each."""
+    """(node, shingles) of the named documents and some others; rows that repeat an id have a row each."""
+    hashed = nodes.select(F.xxhash64("node").alias("h"))
+    wanted = texts.sparkSession.sparkContext.broadcast(filter_of(hashed, hashed.count()))
 
     def run(batches):
         for batch in batches:
+            hashes = batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64)
+            batch = batch.filter(pa.array(wanted.value.holds(hashes)))
             for first, last, data, offsets in text_blocks(batch.column(1)):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, last - first),
                      pa.array([s.tobytes() for s in text_shingles(data, offsets, words)], pa.binary())],
                     names=["node", "shingles"])
 
-    return (texts.join(nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    return (texts.filter("doc_id IS NOT NULL").select("doc_id", "text", F.xxhash64("doc_id").alias("h"))
             .mapInArrow(run, "node long, shingles binary").filter("length(shingles) > 0"))
 
 
@@ -144,7 +159,9 @@ def _live(lists: DataFrame) -> DataFrame:
     met = live.groupBy("node").agg(F.sum("size").alias("met"))
     pivots = (live.filter(F.col("size") > SHORT).join(met, "node").groupBy("list")
               .agg(F.max_by(F.struct(*MEMBER), F.struct("met", -F.col("node"))).alias("pivot")))
-    return live.join(pivots, "list", "left").select("list", *MEMBER, "size", "pivot")
+    found = stored(live.join(pivots, "list", "left").select("list", *MEMBER, "size", "pivot"), "minhash-live")
+    discard(live)
+    return found
 
 
 def _pairs(live: DataFrame, percent: int) -> DataFrame:
@@ -179,8 +196,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, minima: int, percent: int) -
 
     def run(batches):
         for batch in batches:
-            keep = [int((np.frombuffer(x, np.uint32) == np.frombuffer(y, np.uint32)).sum()) >= least
-                    for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            one, two = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, minima) for k in (2, 3))
+            keep = np.count_nonzero(one == two, axis=1) >= least
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     return _with_both(pairs, classes, "signature").mapInArrow(run, "a long, b long").distinct()
@@ -228,7 +245,7 @@ def _searched(open_: DataFrame, classes: DataFrame, sets: DataFrame, minima: int
                 if own != key:
                     key, block, seen = own, _Block(), set()
                 minima_, shingles = (np.frombuffer(batch.column(k)[row].as_buffer(), kind)
-                                     for k, kind in ((6, np.uint32), (7, np.uint64)))
+                                     for k, kind in ((6, np.uint8), (7, np.uint64)))
                 if role == 0:
                     block.add(node, component, minima_, shingles)
                 else:
@@ -251,7 +268,7 @@ class _Block:
     def add(self, node, component, minima, shingles):
         self.nodes.append(node)
         self.components.append(component)
-        self.signatures.append(minima.astype(np.uint8))     # a byte of each; by chance they agree more often, never less
+        self.signatures.append(minima)
         self.sets.append(shingles.copy())
 
     def linked(self, component, minima, shingles, least, percent, seen):
@@ -262,7 +279,7 @@ class _Block:
             self.own = np.array(self.components)
         n = len(shingles)
         alike = ((self.own != component) & (100 * np.minimum(self.sizes, n) >= percent * np.maximum(self.sizes, n))
-                 & (np.count_nonzero(self.table == minima.astype(np.uint8), axis=1) >= least))
+                 & (np.count_nonzero(self.table == minima, axis=1) >= least))
         found = set()
         for k in np.flatnonzero(alike).tolist():
             its = self.components[k]
@@ -286,8 +303,8 @@ def _in_several(lists: DataFrame, labels: DataFrame, *others: str) -> DataFrame:
 def _groups(open_: DataFrame) -> DataFrame:
     """Open lists joined by their members to groups, each as one list with its most met member as pivot."""
     groups = star_components(open_.select(F.col("pivot.node").alias("a"), F.col("node").alias("b")))
-    members = stored(open_.groupBy(*MEMBER).agg(F.sum("size").alias("met")).join(groups.withColumnRenamed(
-        "component", "group"), "node", "left").withColumn("list", F.coalesce("group", "node")), "minhash-groups")
+    members = (open_.groupBy(*MEMBER).agg(F.sum("size").alias("met")).join(groups.withColumnRenamed(
+        "component", "group"), "node", "left").withColumn("list", F.coalesce("group", "node")))
     heads = members.groupBy("list").agg(F.max_by(F.struct(*MEMBER), F.struct("met", -F.col("node"))).alias("pivot"),
                                         F.count("*").alias("size"))
     return members.select("list", *MEMBER).join(heads, "list").select("list", *MEMBER, "size", "pivot")
@@ -305,18 +322,21 @@ def star_components(edges: DataFrame) -> DataFrame:
     while True:
         seen = current.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if seen == mark or not seen["n"]:
-            return current.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        mark = seen
+            labels = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            labels.scratch_path = current.scratch_path
+            return labels
+        mark, before = seen, current
         # large star: every larger neighbour of u goes to the smallest of u and its neighbours
         around = current.select("u", "v").union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = around.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = around.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stored(large, "minhash-stars")
+        large = stored(around.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(),
+                       "minhash-stars")
         # small star: every smaller neighbour of u, and u, goes to the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
         current = stored(small, "minhash-stars")
+        discard(before, large)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
@@ -330,35 +350,50 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     columns are ignored. An empty table gives no rows.
     """
     texts = pick(docs, id_col, text_col)
-    scanned = stored(_scan(texts, words, bands * rows), "minhash-scan")
+    minima = min(SIGNATURE, bands * rows)
+    scanned = stored(_scan(texts, words, bands, rows), "minhash-scan")
     classes = (scanned.filter("n > 0 AND doc_id IS NOT NULL").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("node")))
+    first = F.col("node") == F.col("doc_id")
     named = stored(scanned.join(classes, ["n", "d1", "d2"], "left").select(
         "doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce("node", "doc_id")).alias("node"),
-        F.when(F.col("node") == F.col("doc_id"), F.col("signature")).alias("signature")), "minhash-classes")
-    single = named.filter("signature IS NOT NULL").select("node", "n", "signature")
+        F.when(first, F.col("bands")).alias("bands"), F.when(first, F.col("signature")).alias("signature")), "minhash-classes")
+    discard(scanned)
+    single = named.filter("signature IS NOT NULL").select("node", "n", "bands", "signature")
     # a repeated row, or an id with two texts that are both the first of their class, has several rows here
     ids = named.filter("node IS NOT NULL").select("doc_id", "node").distinct()
     twice = ids.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("doc_id", "a")
     edges = stored(ids.join(twice, "doc_id").select("a", F.col("node").alias("b")), "minhash-links")
 
-    # stored once: the lists and their sizes are two reads of it
-    live = stored(_live(stored(_banded(single, bands, rows).distinct(), "minhash-bands")), "minhash-live")
-    sets = stored(_sets(texts, live.select("node"), words), "minhash-sets")
-
     def settle(live, edges):
-        """The links found among the pairs of ``live`` added to ``edges``, the components, and the lists still open."""
-        verified = stored(_verified(_pairs(live, percent), single, bands * rows, percent), "minhash-pairs")
-        edges = stored(edges.union(_confirmed(verified, sets, percent)), "minhash-links")
-        labels = star_components(edges)
+        """The links found among the pairs of ``live`` added to ``edges``, the components, the lists still open, the sets."""
+        verified = stored(_verified(_pairs(live, percent), single, minima, percent), "minhash-pairs")
+        wanted = verified.select(F.explode(F.array("a", "b")).alias("node")).union(
+            live.filter("pivot IS NOT NULL").select("node")).distinct()
+        sets = stored(_sets(texts, wanted, words), "minhash-sets")
+        found = stored(edges.union(_confirmed(verified, sets, percent)), "minhash-links")
+        labels = star_components(found)
         rest = live.filter("pivot IS NOT NULL").drop("component")
-        return edges, labels, stored(_in_several(rest, labels, "size", "pivot"), "minhash-open")
+        open_ = stored(_in_several(rest, labels, "size", "pivot"), "minhash-open")
+        discard(verified, edges)
+        return found, labels, open_, sets
 
-    edges, labels, open_ = settle(live, edges)
+    # stored once: the lists and their sizes are two reads of it
+    banded = stored(_banded(single, bands).distinct(), "minhash-bands")
+    live = _live(banded)
+    discard(banded)
+    edges, labels, open_, sets = settle(live, edges)
+    discard(live)
     if not open_.isEmpty():
-        edges, labels, open_ = settle(stored(_groups(open_), "minhash-groups"), edges)
+        groups = stored(_groups(open_), "minhash-groups")
+        discard(sets, open_, labels)
+        edges, labels, open_, sets = settle(groups, edges)
+        discard(groups)
     if not open_.isEmpty():
-        found = stored(_searched(open_, single, sets, bands * rows, percent), "minhash-links")
+        found = stored(_searched(open_, single, sets, minima, percent), "minhash-links")
+        discard(labels)
         labels = star_components(edges.union(found))
+        discard(found)
+    discard(edges, open_, sets)
 
     component = F.coalesce("component", "node")
     return named.join(labels, "node", "left").select(

@@ -11,7 +11,7 @@ Lengths follow each other. For each length k:
 2. **Unite** what all shards found: the candidates.
 3. **Count** the candidates, told by a bit filter, in all shards; sums below the support go.
 
-The filters are sized by the number of phrases, up to ``MOST_FILTER_BITS``; they let through some phrases too many and lose
+The filters (``bits``) are sized by the number of phrases, up to a bound; they let through some phrases too many and lose
 none, and equal phrases pass alike in all shards, so sums are exact. Inside a shard phrases are told apart by the exact ids
 of their words. Where a shard's support comes to 1 (a corpus of over ``support`` shards), mining lets all runs of frequent
 parts through: then the step from length to length is what bounds the rows that are shuffled.
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from paystrata.llm import hashing
+from paystrata.llm.bits import Filter, filter_of
 from paystrata.llm.common import byte_view, ship, stored
 
 SUPPORT = 100
@@ -38,12 +39,6 @@ NO_LANGUAGE = "und"
 SHARD_BYTES = 1 << 24
 #: Languages whose number of words is sent to the tasks, the largest; others are mined at a support of 1.
 TOTALS = 4096
-#: Bits of filter for each phrase, and at most (32 MB).
-BITS_TO_A_PHRASE = 16
-MOST_FILTER_BITS = 1 << 28
-#: Bits of a filter that travel in one row.
-CHUNK_BITS = 1 << 19
-
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _BREAK = np.zeros(256, bool)
@@ -165,33 +160,10 @@ def _in_shards(texts: DataFrame, count: Callable[[Words, str], tuple[pa.Array, n
             .groupBy("lang", F.col("phrase").cast("string").alias("phrase")).agg(F.sum("f").alias("f")))
 
 
-class Filter:
-    """A set of phrases as bits: two for each, from its hash."""
-
-    def __init__(self, bits: np.ndarray):
-        self.bits, self.mask = bits, np.uint64(8 * len(bits) - 1)
-
-    def holds(self, hashes: np.ndarray) -> np.ndarray:
-        found = np.ones(len(hashes), bool)
-        for place in places(hashes, self.mask):
-            found &= (self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
-        return found
-
-
-def places(hashes: np.ndarray, mask: np.uint64) -> tuple[np.ndarray, np.ndarray]:
-    return hashes & mask, hashing.mix(hashes) & mask
-
-
-def filter_of(phrases: DataFrame, size: int) -> Filter:
-    """The filter of phrases (lang, phrase) of ``size`` words. Tasks set bits; the driver gets the united bits only."""
-    n_bits = CHUNK_BITS
-    wanted = BITS_TO_A_PHRASE * phrases.count()
-    while n_bits < min(wanted, MOST_FILTER_BITS):
-        n_bits *= 2
-    mask = np.uint64(n_bits - 1)
+def filter_of_phrases(phrases: DataFrame, size: int) -> Filter:
+    """The filter of phrases (lang, phrase) of ``size`` words."""
 
     def run(batches):
-        bits = np.zeros(n_bits, bool)
         for batch in batches:
             data, ends = byte_view(batch.column(1))
             own = data[ends[0]:ends[-1]]
@@ -199,29 +171,9 @@ def filter_of(phrases: DataFrame, size: int) -> Filter:
             found = hashing.windows(hashing.spans(own, hashing.EXACT, starts, word_ends), size)[before[:-1]]
             langs = batch.column(0).dictionary_encode()
             salts = np.array([salt(v) for v in langs.dictionary.to_pylist()], np.uint64)
-            for place in places(found ^ salts[langs.indices.to_numpy()], mask):
-                bits[place] = True
-        packed = np.packbits(bits, bitorder="little").reshape(-1, CHUNK_BITS // 8)
-        filled = np.flatnonzero(packed.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(filled, pa.int32()), pa.array([packed[k].tobytes() for k in filled], pa.binary())],
-                                         names=["chunk", "bits"])
-
-    def united(batches):
-        held: dict[int, np.ndarray] = {}        # chunks are few: the filter's size bounds them
-        for batch in batches:
-            for chunk, one in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                bits = np.frombuffer(one, np.uint8)
-                held[chunk] = held[chunk] | bits if chunk in held else bits
-        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([b.tobytes() for b in held.values()], pa.binary())],
-                                         names=["chunk", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array((found ^ salts[langs.indices.to_numpy()]).view(np.int64))], names=["h"])
 
-    schema = "chunk int, bits binary"
-    rows = phrases.select("lang", "phrase").mapInArrow(run, schema).repartition("chunk").mapInArrow(united, schema).collect()
-    bits = np.zeros(n_bits // 8, np.uint8)
-    for row in rows:
-        at = row["chunk"] * CHUNK_BITS // 8
-        bits[at:at + CHUNK_BITS // 8] |= np.frombuffer(row["bits"], np.uint8)
-    return Filter(bits)
+    return filter_of(phrases.select("lang", "phrase").mapInArrow(run, "h long"), phrases.count())
 
 
 def frequent_phrases(texts: DataFrame, support: int = SUPPORT, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
@@ -232,8 +184,8 @@ def frequent_phrases(texts: DataFrame, support: int = SUPPORT, longest: int = LO
     known = share({r["lang"]: r["n"] for r in totals.orderBy(F.desc("n"), "lang").limit(TOTALS).collect()})
     levels = [words.filter(F.col("f") >= support)]
     for size in range(2, longest + 1):
-        parts = filter_of(levels[-1], size - 1)
-        if not parts.bits.any():
+        parts = filter_of_phrases(levels[-1], size - 1)
+        if parts.empty():
             break
         shared = share(parts)
 
@@ -245,7 +197,7 @@ def frequent_phrases(texts: DataFrame, support: int = SUPPORT, longest: int = LO
             return own.counted(at, size, -(-support * len(own) // total) if total else 1)
 
         candidates = stored(_in_shards(texts, mine), "phrases-candidates")
-        chosen = share(filter_of(candidates, size))
+        chosen = share(filter_of_phrases(candidates, size))
 
         def count(own: Words, lang: str, size=size, chosen=chosen):
             return own.counted(np.flatnonzero(own.runs(size) & chosen.value.holds(own.hashes(size))), size, 1)

@@ -15,10 +15,11 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paystrata.llm import hashing
-from paystrata.llm.common import annotate, field, pick
+from paystrata.llm.common import annotate, field, free_name, pick
 
 MIN_WORDS = 50
 MOST_REPEATED_PERCENT = 50
@@ -144,7 +145,8 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def clean(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents that are kept, with all their columns, their text without the failing lines."""
-    fields = [field("_kept", T.BooleanType()), field("_cleaned", T.StringType())]
+    kept, cleaned = free_name(docs.columns, "kept"), free_name(docs.columns, "cleaned")
+    fields = [field(kept, T.BooleanType()), field(cleaned, T.StringType())]
 
     def compute():
         def block(data, offsets):
@@ -152,5 +154,5 @@ def clean(docs: DataFrame, text_col: str = "text") -> DataFrame:
             return [columns[6], columns[8]]
         return block
 
-    judged = annotate(docs, text_col, compute, fields).filter("_kept")
-    return judged.withColumn(text_col, judged["_cleaned"]).select(*docs.columns)
+    judged = annotate(docs, text_col, compute, fields).filter(F.col(kept))
+    return judged.withColumn(text_col, F.col(cleaned)).select(*docs.columns)

@@ -55,7 +55,7 @@ def shingles(text: str | None) -> frozenset:
     return frozenset(tuple(words[i:i + 5]) for i in range(len(words) - 4))
 
 
-def link_components(sets: dict[int, frozenset]) -> dict[int, int]:
+def link_components(sets: dict[int, frozenset], percent: int = 75) -> dict[int, int]:
     """The smallest id that each id reaches."""
     root = {i: i for i in sets}
 
@@ -68,7 +68,7 @@ def link_components(sets: dict[int, frozenset]) -> dict[int, int]:
     for k, a in enumerate(ids):
         for b in ids[k + 1:]:
             both = len(sets[a] & sets[b])
-            if both and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     return {i: find(i) for i in ids}

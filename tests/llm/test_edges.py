@@ -5,7 +5,7 @@ from cases import empty, frame, rows, texts
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from paystrata.llm import (fingerprints, language_id, packing, quality_rules, secret_scan, sentence_pieces, sharding,
+from paystrata.llm import (fingerprints, language_id, minhash, packing, quality_rules, secret_scan, sentence_pieces, sharding,
                            shingle_join, token_counts, toxicity)
 from paystrata.llm.queries import vocabulary
 
@@ -20,6 +20,7 @@ def labels(spark, n=len(texts())):
 OPERATORS = {
     "packing": lambda d: packing.pack(d, vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken")),
     "shingle_join": shingle_join.shingle_join,
+    "minhash": minhash.near_duplicates,
     "language_id": lambda d: language_id.identify(d, language_id.learned(d, language_id.trained_rows())),
     "secret_scan": secret_scan.scan,
     "quality_rules": quality_rules.quality,
@@ -92,6 +93,25 @@ def test_stages_keep_columns_and_take_effect(spark):
     assert cut["text"] == texts()[0]
 
 
+def test_bytes_that_are_no_utf8(spark):
+    raw = spark.sql("SELECT id AS doc_id, CASE WHEN id = 1 THEN decode_bytes WHEN id = 2 THEN CAST(NULL AS STRING) ELSE 'plain words' END AS text, "
+                    "'en' AS lang FROM (SELECT id, CAST(X'616263FF20C3286465C3' AS STRING) AS decode_bytes FROM range(4))")
+    for name, operator in OPERATORS.items():
+        found = operator(raw).collect()
+        assert len(found) == 4, name
+    assert OPERATORS["fingerprints"](raw).filter("doc_id = 1").first()["n_chars"] == len(b"abc\xff \xc3(de\xc3".decode("utf-8", "replace"))
+
+
+def test_names_of_callers_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    for name in ("pred", "sure", "strange", "lang_", "score", "unlike", "kept", "cleaned", "_kept", "_lang"):
+        docs = docs.withColumn(name, F.lit("own"))
+    model = language_id.learned(docs, language_id.trained_rows())
+    for kept in (language_id.with_language(docs, model, 0.25), quality_rules.clean(docs)):
+        assert kept.columns == docs.columns
+        assert {r[0] for r in kept.select(F.concat_ws("", *docs.columns[3:])).distinct().collect()} == {"own" * (len(docs.columns) - 3)}
+
+
 def test_names_must_not_clash(spark):
     with pytest.raises(ValueError):
         sharding.place(frame(spark).withColumn("slot", F.lit(1)), ["a"])
@@ -112,6 +132,11 @@ def test_texts_of_unlearned_languages_go(spark, sf):
                                     "doc_id long, text string")
     found = language_id.with_language(strange, model, corpus_pipeline.LEAST_LANGUAGE_SCORE).collect()
     assert found == []
-    assert {(r["lang_pred"], r["score"]) for r in language_id.identify(strange, model).collect()} == {("und", 0.0)}
+    # a prediction is always a learned language; only the stage rejects
+    assert {r["lang_pred"] for r in language_id.identify(strange, model).collect()} <= {"de", "en", "es", "fr"}
     held = docs.filter(~language_id.trained_rows())
     assert language_id.with_language(held, model, corpus_pipeline.LEAST_LANGUAGE_SCORE).count() == held.count()
+    short = held.select("doc_id", F.explode(F.array(*[F.array_join(F.slice(F.split("text", r"\s+"), 1, n), " ") for n in (1, 3, 10)])).alias("text"))
+    short = short.filter(r"text RLIKE '\\p{L}'")
+    assert {r["lang_pred"] for r in language_id.identify(short, model).select("lang_pred").distinct().collect()} <= {"de", "en", "es", "fr"}
+    assert language_id.with_language(short, model, corpus_pipeline.LEAST_LANGUAGE_SCORE).count() >= 0.999 * short.count()
