@@ -57,10 +57,32 @@ def _keys(positions: np.ndarray) -> np.ndarray:
 _KEYS = _keys(np.arange(1 << 12))
 
 
+#: Bytes hashed in one go.
+_AT_ONCE = 1 << 20
+
+
 def spans(data: np.ndarray, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The hash of each byte range; meant for ranges that don't overlap, as its cost is that of their bytes."""
     length = np.asarray(ends) - starts
+    upto = np.cumsum(length)
+    if len(length) < 2 or upto[-1] <= _AT_ONCE:
+        return _spans(data, values, starts, length)
+    # in parts, as a byte takes some tens of bytes on the way; long ranges by themselves
+    out = np.zeros(len(length), np.uint64)
+    edges = np.unique(np.concatenate([[0], np.searchsorted(upto, np.arange(_AT_ONCE, upto[-1], _AT_ONCE)), [len(length)]]))
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        long_ = np.flatnonzero(length[a:b] > _AT_ONCE)
+        short = np.where(length[a:b] > _AT_ONCE, 0, length[a:b])
+        out[a:b] = _spans(data, values, starts[a:b], short)
+        for k in (long_ + a).tolist():
+            out[k] = _span(data, values, int(starts[k]), int(ends[k]))
+    return out
+
+
+def _spans(data, values, starts, length) -> np.ndarray:
     n = int(length.sum()) if len(length) else 0
+    if len(length) == 1 and n > _AT_ONCE:
+        return np.array([_span(data, values, int(starts[0]), int(starts[0]) + n)])
     first = np.cumsum(length) - length
     place = np.arange(n) - np.repeat(first, length)
     keys = _KEYS[place] if len(length) == 0 or length.max() <= len(_KEYS) else _keys(place)
@@ -69,6 +91,15 @@ def spans(data: np.ndarray, values: np.ndarray, starts: np.ndarray, ends: np.nda
     return mix(sums[first + length] - sums[first] + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def _span(data: np.ndarray, values: np.ndarray, start: int, end: int) -> np.uint64:
+    """The hash of one long range."""
+    total = np.zeros(1, np.uint64)
+    for at in range(start, end, _AT_ONCE):
+        part = np.arange(at, min(at + _AT_ONCE, end))
+        total += (values[data[part]] * _keys(part - start)).sum(dtype=np.uint64)
+    return mix(total + np.array([end - start], np.uint64) * np.uint64(0xD6E8FEB86659FD93))[0]
+
+
 def running(data: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Entry i is the sum over the first i bytes."""
     powers, _ = _power_table(len(data) + 1)

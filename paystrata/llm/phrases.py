@@ -8,7 +8,8 @@ Lengths follow each other. For each length k:
 
 1. **Mine.** In each shard: all k-word runs inside a piece whose first and last k - 1 words are frequent phrases, as a bit
    filter of those tells, that occur at least ``ceil(support * words of the shard / words of the language)`` times.
-2. **Unite** what all shards found: the candidates.
+2. **Unite** what all shards found. A shard that did not report a phrase holds it less often than its support; where the counts
+   reported and these bounds together stay below the support of all, the phrase goes. The rest are the candidates.
 3. **Count** the candidates, told by a bit filter, in all shards; sums below the support go.
 
 The filters (``bits``) are sized by the number of phrases, up to a bound; they let through some phrases too many and lose
@@ -30,13 +31,13 @@ from pyspark.sql.window import Window
 
 from paystrata.llm import hashing
 from paystrata.llm.bits import Filter, filter_of
-from paystrata.llm.common import byte_view, ship, stored
+from paystrata.llm.common import byte_view, discard, ship, stored
 
 SUPPORT = 100
 LONGEST = 5
 FIRST = 2000
 NO_LANGUAGE = "und"
-SHARD_BYTES = 1 << 24
+SHARD_BYTES = 1 << 26
 #: Languages whose number of words is sent to the tasks, the largest; others are mined at a support of 1.
 TOTALS = 4096
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -63,6 +64,7 @@ class Words:
         edges = edges[(edges > 0) & (edges < len(self.starts))]
         self.follows[edges - 1] = False
         self._hashes = None
+        del breaks, before
 
     def __len__(self):
         return len(self.starts)
@@ -140,8 +142,11 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield whole()
 
 
-def _in_shards(texts: DataFrame, count: Callable[[Words, str], tuple[pa.Array, np.ndarray]]) -> DataFrame:
-    """(lang, phrase, f) with the sums of what ``count`` finds in the words of each shard and language."""
+def _in_shards(texts: DataFrame, count: Callable[[Words, str], tuple[pa.Array, np.ndarray, int]]) -> DataFrame:
+    """(lang, phrase, f) with the sums of what ``count`` finds in the words of each shard and language.
+
+    ``count`` returns phrases, their numbers, and a number that is added up under the phrase null.
+    """
 
     def run(batches):
         for shard in _shards(batches):
@@ -149,7 +154,10 @@ def _in_shards(texts: DataFrame, count: Callable[[Words, str], tuple[pa.Array, n
             order = langs.indices.to_numpy()
             for k, lang in enumerate(langs.dictionary.to_pylist()):
                 own = shard.column(1).filter(pa.array(order == k))
-                found, n = count(Words(own, lang), lang)
+                found, n, beside = count(Words(own, lang), lang)
+                if beside:
+                    yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.nulls(1, pa.binary()), pa.array([beside], pa.int64())],
+                                                     names=["lang", "phrase", "f"])
                 for at in range(0, len(found), 1 << 16):
                     part = found.slice(at, 1 << 16).cast(pa.binary())
                     yield pa.RecordBatch.from_arrays(
@@ -179,7 +187,7 @@ def filter_of_phrases(phrases: DataFrame, size: int) -> Filter:
 def frequent_phrases(texts: DataFrame, support: int = SUPPORT, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, f, size) of all phrases of up to ``longest`` words that occur ``support`` times, (lang, n) of all words)."""
     share = texts.sparkSession.sparkContext.broadcast
-    words = stored(_in_shards(texts, lambda own, lang: own.counted(np.arange(len(own)), 1, 1)), "phrases-words")
+    words = stored(_in_shards(texts, lambda own, lang: (*own.counted(np.arange(len(own)), 1, 1), 0)), "phrases-words")
     totals = stored(words.groupBy("lang").agg(F.sum("f").alias("n")), "phrases-totals")
     known = share({r["lang"]: r["n"] for r in totals.orderBy(F.desc("n"), "lang").limit(TOTALS).collect()})
     levels = [words.filter(F.col("f") >= support)]
@@ -194,15 +202,24 @@ def frequent_phrases(texts: DataFrame, support: int = SUPPORT, longest: int = LO
             n = max(len(own) - size + 1, 0)
             at = np.flatnonzero(own.runs(size) & inner[:n] & inner[1:n + 1])
             total = known.value.get(lang)
-            return own.counted(at, size, -(-support * len(own) // total) if total else 1)
-
-        candidates = stored(_in_shards(texts, mine), "phrases-candidates")
+            least = -(-support * len(own) // total) if total else 1
+            found, f = own.counted(at, size, least)
+            return found, f - (least - 1), least - 1
+
+        # how far the shards that report a phrase are above what those that don't may have; and that, of all shards
+        mined = stored(_in_shards(texts, mine), "phrases-mined")
+        unseen = mined.filter("phrase IS NULL").select("lang", F.col("f").alias("unseen"))
+        candidates = stored(mined.filter("phrase IS NOT NULL").join(unseen, "lang", "left")
+                            .filter(F.col("f") + F.coalesce("unseen", F.lit(0)) >= support).select("lang", "phrase"),
+                            "phrases-candidates")
+        discard(mined)
         chosen = share(filter_of_phrases(candidates, size))
 
         def count(own: Words, lang: str, size=size, chosen=chosen):
-            return own.counted(np.flatnonzero(own.runs(size) & chosen.value.holds(own.hashes(size))), size, 1)
+            return *own.counted(np.flatnonzero(own.runs(size) & chosen.value.holds(own.hashes(size))), size, 1), 0
 
         levels.append(stored(_in_shards(texts, count).filter(F.col("f") >= support), "phrases-frequent"))
+        discard(candidates)
     every = None
     for size, level in enumerate(levels, 1):
         level = level.select("lang", "phrase", "f", F.lit(size).alias("size"))
