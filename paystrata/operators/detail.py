@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def clean_transactions(df: DataFrame, require_customer: bool = False) -> DataFrame:
-    """Keep rows with an id, a positive amount and a time; the stream also requires a customer."""
+def is_clean(require_customer: bool = False) -> Column:
+    """The row has an id, a positive amount and a time; the stream also requires a customer."""
     keep = F.col("transaction_id").isNotNull() & (F.col("amount") > 0) & F.col("event_time").isNotNull()
-    if require_customer:
-        keep = keep & F.col("customer_id").isNotNull()
-    return df.filter(keep)
+    return keep & F.col("customer_id").isNotNull() if require_customer else keep
+
+
+def clean_transactions(df: DataFrame, require_customer: bool = False) -> DataFrame:
+    return df.filter(is_clean(require_customer))
 
 
 def enrich_customer(df: DataFrame, customers: DataFrame) -> DataFrame:

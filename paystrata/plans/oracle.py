@@ -446,5 +446,13 @@ SELECT {_TX_COLUMNS} FROM (
     "late_transactions": _with(["ev"], f"""
 , turns AS (SELECT * REPLACE (date_trunc('millisecond', event_time) AS event_time), {_TURN} AS turn FROM ev)
 SELECT {_TX_COLUMNS} FROM turns t
+WHERE event_time < (SELECT max(event_time) FROM turns earlier WHERE earlier.turn < t.turn) - to_seconds(5)"""),
+
+    "stream_one_scan": _with(["ev", "cust"], f"""
+, turns AS (SELECT * REPLACE (date_trunc('millisecond', event_time) AS event_time), {_TURN} AS turn FROM ev)
+SELECT 'online' AS sink, transaction_id, {_time('event_time')} AS event_time, {_money('amount')} AS amount, c.level AS customer_level
+FROM turns t LEFT JOIN (SELECT * FROM cust WHERE n % 20 <> 0) c USING (customer_id) WHERE amount > 0
+UNION ALL
+SELECT 'late', transaction_id, {_time('event_time')}, {_money('amount')}, NULL FROM turns t
 WHERE event_time < (SELECT max(event_time) FROM turns earlier WHERE earlier.turn < t.turn) - to_seconds(5)"""),
 }

@@ -27,7 +27,7 @@ from paystrata.sources.lake import Lake, scan_source
 from paystrata.sources.lookup import lookup, publish_lookup, to_lookup
 from paystrata.sources.topics import folder_topic, parse_messages, to_messages, write_folder
 from paystrata.streaming import jobs, windows
-from paystrata.streaming.dedup import dedup_latest
+from paystrata.streaming.newest import of_kind, tagged
 
 Query = Callable[[SparkSession, str], DataFrame]
 DAY = "2026-09-04"
@@ -474,16 +474,13 @@ def window_union(spark, sf_dir):
 
 def _clean_run(spark, sf_dir, with_windows: bool) -> DataFrame:
     work = scratch_dir(spark, "stream")
-    lake = Lake(spark, f"{work}/lake")
-    publish_lookup(lake, samples.customers(spark, sf_dir, with_gaps=True), "lookup_customer", "customer_id",
-                   CUSTOMER_LOOKUP_PREFIX)
-    publish_lookup(lake, samples.merchants(spark, sf_dir), "lookup_merchant", "merchant_id",
-                   MERCHANT_LOOKUP_PREFIX)
+    lake = _published(spark, sf_dir, f"{work}/lake")
     write_folder(_raw_messages(samples.stream_rows(spark, sf_dir)), f"{work}/raw", 0)
     online = KeyedLog(spark, f"{work}/online", TRANSACTION_ONLINE, ONLINE_KEY, "customer_id")
-    jobs.start_clean_job(folder_topic(spark, f"{work}/raw"), lake, online,
-                         lambda messages, batch_id: write_folder(messages, f"{work}/topic", batch_id),
-                         f"{work}/clean", jobs.BACKLOG).awaitTermination()
+    late = KeyedLog(spark, f"{work}/late", LATE_TRANSACTION, LATE_KEY)
+    jobs.start_one_scan_job(folder_topic(spark, f"{work}/raw"), lake, online, late,
+                            lambda messages, batch_id: write_folder(messages, f"{work}/topic", batch_id),
+                            f"{work}/clean", jobs.BACKLOG).awaitTermination()
     if not with_windows:
         return online.latest()
     sink = KeyedLog(spark, f"{work}/table", REALTIME_AGG, WINDOW_KEY, "customer_id")
@@ -515,25 +512,48 @@ def stream_dedup_latest(spark, sf_dir):
     for turn in (0, 1, 2):
         write_folder(to_messages(versions.filter(F.col("turn") == turn).drop("turn"), ["customer_id"]),
                      f"{work}/raw", turn)
-        newest = dedup_latest(detail.clean_transactions(
-            parse_messages(folder_topic(spark, f"{work}/raw")), require_customer=True))
-        jobs.start(newest, "update", f"{work}/checkpoint", jobs.BACKLOG, sink.upsert).awaitTermination()
+        jobs.start(tagged(folder_topic(spark, f"{work}/raw")), "update", f"{work}/checkpoint", jobs.BACKLOG,
+                   lambda batch, batch_id: sink.upsert(parse_messages(of_kind(batch, "newest")), batch_id)).awaitTermination()
     return sink.latest()
 
 
-@query
-def late_transactions(spark, sf_dir):
-    """Three runs by time of day, every tenth row one run behind: rows older than the watermark are set aside."""
-    work = scratch_dir(spark, "late")
+def _published(spark, sf_dir, path: str) -> Lake:
+    lake = Lake(spark, path)
+    publish_lookup(lake, samples.customers(spark, sf_dir, with_gaps=True), "lookup_customer", "customer_id",
+                   CUSTOMER_LOOKUP_PREFIX)
+    publish_lookup(lake, samples.merchants(spark, sf_dir), "lookup_merchant", "merchant_id",
+                   MERCHANT_LOOKUP_PREFIX)
+    return lake
+
+
+def _one_scan(spark, sf_dir, label: str) -> tuple[KeyedLog, KeyedLog]:
+    """The online and the late table after three runs of one job by time of day, every tenth row one run behind."""
+    work = scratch_dir(spark, label)
+    lake = _published(spark, sf_dir, f"{work}/lake")
     rows = samples.stream_rows(spark, sf_dir)
     third = F.floor(F.unix_seconds("event_time") % 86400 / 8640).cast("int")
     turn = F.least(F.lit(2), third + F.when(id_number("transaction_id") % 10 == 9, 1).otherwise(0))
-    late = KeyedLog(spark, f"{work}/table", LATE_TRANSACTION, LATE_KEY)
+    online = KeyedLog(spark, f"{work}/online", TRANSACTION_ONLINE, ONLINE_KEY, "customer_id")
+    late = KeyedLog(spark, f"{work}/late", LATE_TRANSACTION, LATE_KEY)
     for number in (0, 1, 2):
         write_folder(to_messages(rows.filter(turn == number), ["customer_id"]), f"{work}/raw", number)
-        jobs.start_late_job(folder_topic(spark, f"{work}/raw"), late, f"{work}/checkpoint",
-                            jobs.BACKLOG).awaitTermination()
-    return late.latest()
+        jobs.start_one_scan_job(folder_topic(spark, f"{work}/raw"), lake, online, late, None, f"{work}/checkpoint",
+                                jobs.BACKLOG).awaitTermination()
+    return online, late
+
+
+@query
+def late_transactions(spark, sf_dir):
+    """Three runs by time of day, every tenth row one run behind: rows older than the watermark are set aside."""
+    return _one_scan(spark, sf_dir, "late")[1].latest()
+
+
+@query
+def stream_one_scan(spark, sf_dir):
+    """Late rows and enriched newest rows, from one read of the messages in three runs."""
+    online, late = _one_scan(spark, sf_dir, "one-scan")
+    rows = online.latest().select(F.lit("online").alias("sink"), "transaction_id", "event_time", "amount", "customer_level")
+    return rows.union(late.latest().select(F.lit("late"), "transaction_id", "event_time", "amount", F.lit(None).cast("string")))
 
 
 @query

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,6 +18,7 @@ from paystrata.sources.lookup import lookup
 from paystrata.sources.topics import parse_messages, to_messages
 from paystrata.streaming.dedup import dedup_first, dedup_latest
 from paystrata.streaming.late import DELAY_SECONDS, set_late_aside
+from paystrata.streaming.newest import TTL_SECONDS, of_kind, tagged
 from paystrata.streaming.windows import DELAY, both_windows
 
 EVERY = {"processingTime": "10 seconds"}       # as often as checkpoints are taken
@@ -72,6 +74,27 @@ def start_clean_job(messages: DataFrame, lake: Lake, online: KeyedLog,
     return start(dedup_latest(clean), "update", checkpoint, trigger, write)
 
 
+def start_one_scan_job(messages: DataFrame, lake: Lake, online: KeyedLog, late: KeyedLog,
+                       publish: Callable[[DataFrame, int], None] | None, checkpoint: str, trigger: dict = EVERY,
+                       ttl_seconds: int = TTL_SECONDS) -> StreamingQuery:
+    """Late rows, the newest rows enriched, and the next topic, from one read of the raw messages.
+
+    What is late is told by the engine's watermark; late rows also stay in the main flow. The newest row of a transaction is
+    kept for ``ttl_seconds`` of event time. A batch is tagged once and kept on disk for its sinks.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            late.upsert(parse_messages(of_kind(held, "late")).select(*LATE_TRANSACTION.names), batch_id)
+            rows = parse_messages(of_kind(held, "newest"))
+            online.upsert(enrich_online(rows, lake.read("lookup_customer"), lake.read("lookup_merchant")), batch_id)
+        finally:
+            held.unpersist()
+        if publish:
+            publish(to_messages(online.batch(batch_id), ["transaction_id"]), batch_id)
+    return start(tagged(messages, ttl_seconds), "update", checkpoint, trigger, write)
+
+
 def start_window_job(rows: DataFrame, sink: KeyedLog, checkpoint: str, trigger: dict = EVERY,
                      windows: Callable[[DataFrame], DataFrame] = both_windows, dedup: bool = False) -> StreamingQuery:
     """Window totals of enriched rows, written once the watermark has passed the end of a window.
