@@ -37,7 +37,7 @@ SUPPORT = 100
 LONGEST = 5
 FIRST = 2000
 NO_LANGUAGE = "und"
-SHARD_BYTES = 1 << 26
+SHARD_BYTES = 1 << 25
 #: Languages whose number of words is sent to the tasks, the largest; others are mined at a support of 1.
 TOTALS = 4096
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -58,13 +58,13 @@ class Words:
         self.data, offsets = _FOLD[data[ends[0]:ends[-1]]], ends - ends[0]
         self.starts, self.ends, before = hashing.word_bounds(self.data, offsets, _GAP)
         self.salt = salt(lang)
-        breaks = np.concatenate([[0], np.cumsum(_BREAK[self.data])])
-        self.follows = breaks[self.starts[1:]] == breaks[self.ends[:-1]]        # word i + 1 is in the piece of word i
+        breaks = np.flatnonzero(_BREAK[self.data])
+        # word i + 1 is in the piece of word i
+        self.follows = np.searchsorted(breaks, self.starts[1:]) == np.searchsorted(breaks, self.ends[:-1])
         edges = before[1:-1]
         edges = edges[(edges > 0) & (edges < len(self.starts))]
         self.follows[edges - 1] = False
         self._hashes = None
-        del breaks, before
 
     def __len__(self):
         return len(self.starts)
@@ -85,11 +85,13 @@ class Words:
 
     def array(self, which: np.ndarray) -> pa.Array:
         """The words with these numbers."""
-        length = self.ends[which] - self.starts[which]
-        upto = np.concatenate([[0], np.cumsum(length)])
-        at = np.repeat(self.starts[which] - upto[:-1], length) + np.arange(upto[-1])
-        return pa.Array.from_buffers(pa.large_binary(), len(which), [
-            None, pa.py_buffer(upto.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(self.data[at]))])
+        upto = np.zeros(len(which) + 1, np.int64)
+        np.cumsum(self.ends[which] - self.starts[which], out=upto[1:])
+        inside = np.zeros(len(self.data) + 1, np.int8)      # a byte for each byte of text, where an index would take eight
+        inside[self.starts[which]] += 1
+        inside[self.ends[which]] -= 1
+        own = self.data[np.cumsum(inside[:-1], dtype=np.int8, out=inside[:-1]).view(bool)]
+        return pa.Array.from_buffers(pa.large_binary(), len(which), [None, pa.py_buffer(upto), pa.py_buffer(own)])
 
     def counted(self, at: np.ndarray, size: int, least: int) -> tuple[pa.Array, np.ndarray]:
         """The different runs of ``size`` words that begin at the words ``at`` and occur ``least`` times, and how often."""
@@ -98,6 +100,9 @@ class Words:
             used[at + k] = True
         numbers = np.flatnonzero(used)
         coded = self.array(numbers).dictionary_encode()
+        if size == 1:
+            n = np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))
+            return coded.dictionary.filter(pa.array(n >= least)), n[n >= least]
         ids = np.zeros(len(self), np.int64)
         ids[numbers] = coded.indices.to_numpy()
         code = ids[at]
@@ -106,8 +111,7 @@ class Words:
         _, first, n = np.unique(code, return_index=True, return_counts=True)
         keep = n >= least
         parts = [coded.dictionary.take(pa.array(ids[at[first[keep]] + k])) for k in range(size)]
-        text = parts[0] if size == 1 else pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary()))
-        return text, n[keep]
+        return pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary())), n[keep]
 
 
 def salt(lang: str) -> np.uint64:
