@@ -26,6 +26,7 @@ from paystrata.sources.keyed import KeyedLog
 from paystrata.sources.lake import Lake
 from paystrata.sources.topics import folder_topic, kafka_topic, parse_messages, write_folder, write_kafka
 from paystrata.streaming import jobs
+from paystrata.streaming.newest import TTL_SECONDS
 
 RAW, CLEANED = "transaction", "dwd_transaction"
 MOST_RECENT = 10_000
@@ -71,11 +72,9 @@ def serve(spark, args) -> list[str]:
 def start_stream(spark, args):
     keyed, checkpoint = f"{args.lake}/keyed", f"{args.lake}/checkpoints/{args.job}"
     trigger = jobs.BACKLOG if args.backlog else jobs.EVERY
-    if args.job == "late":
-        late = KeyedLog(spark, f"{keyed}/late_transaction", LATE_TRANSACTION, LATE_KEY)
-        return jobs.start_late_job(_topic(spark, args, RAW), late, checkpoint, trigger)
     if args.job == "clean":
-        return jobs.start_clean_job(_topic(spark, args, RAW), Lake(spark, args.lake), _online(spark, args.lake),
+        late = KeyedLog(spark, f"{keyed}/late_transaction", LATE_TRANSACTION, LATE_KEY)
+        return jobs.start_clean_job(_topic(spark, args, RAW), Lake(spark, args.lake), _online(spark, args.lake), late,
                                     _publisher(args), checkpoint, trigger, args.ttl)
     sink = KeyedLog(spark, f"{keyed}/dws_realtime_agg", REALTIME_AGG, WINDOW_KEY, "customer_id")
     return jobs.start_window_job(parse_messages(_topic(spark, args, CLEANED), TRANSACTION_ONLINE), sink, checkpoint,
@@ -93,13 +92,14 @@ def parser() -> argparse.ArgumentParser:
     for batch in (table, day):
         batch.add_argument("--sources", required=True, help="folder with master/ and transaction/")
     stream = commands.add_parser("stream")
-    stream.add_argument("job", choices=["late", "clean", "windows"])
+    stream.add_argument("job", choices=["clean", "windows"])
     where = stream.add_mutually_exclusive_group(required=True)
     where.add_argument("--topics", help="folder of message files")
     where.add_argument("--kafka", help="bootstrap servers")
     stream.add_argument("--most-messages", type=int, default=1_000_000, help="bound of a micro-batch from Kafka")
     stream.add_argument("--most-files", type=int, default=1_000, help="bound of a micro-batch from a folder")
-    stream.add_argument("--ttl", help="clean: keep the first row of a transaction, and forget it after this time")
+    stream.add_argument("--ttl", type=int, default=TTL_SECONDS,
+                        help="clean: seconds of event time after which the newest row of a transaction is forgotten")
     stream.add_argument("--dedup", action="store_true", help="windows: count a repeated row once")
     stream.add_argument("--backlog", action="store_true", help="work off what is there and stop")
     recent = commands.add_parser("recent")

@@ -478,9 +478,9 @@ def _clean_run(spark, sf_dir, with_windows: bool) -> DataFrame:
     write_folder(_raw_messages(samples.stream_rows(spark, sf_dir)), f"{work}/raw", 0)
     online = KeyedLog(spark, f"{work}/online", TRANSACTION_ONLINE, ONLINE_KEY, "customer_id")
     late = KeyedLog(spark, f"{work}/late", LATE_TRANSACTION, LATE_KEY)
-    jobs.start_one_scan_job(folder_topic(spark, f"{work}/raw"), lake, online, late,
-                            lambda messages, batch_id: write_folder(messages, f"{work}/topic", batch_id),
-                            f"{work}/clean", jobs.BACKLOG).awaitTermination()
+    jobs.start_clean_job(folder_topic(spark, f"{work}/raw"), lake, online, late,
+                         lambda messages, batch_id: write_folder(messages, f"{work}/topic", batch_id),
+                         f"{work}/clean", jobs.BACKLOG).awaitTermination()
     if not with_windows:
         return online.latest()
     sink = KeyedLog(spark, f"{work}/table", REALTIME_AGG, WINDOW_KEY, "customer_id")
@@ -537,8 +537,8 @@ def _one_scan(spark, sf_dir, label: str) -> tuple[KeyedLog, KeyedLog]:
     late = KeyedLog(spark, f"{work}/late", LATE_TRANSACTION, LATE_KEY)
     for number in (0, 1, 2):
         write_folder(to_messages(rows.filter(turn == number), ["customer_id"]), f"{work}/raw", number)
-        jobs.start_one_scan_job(folder_topic(spark, f"{work}/raw"), lake, online, late, None, f"{work}/checkpoint",
-                                jobs.BACKLOG).awaitTermination()
+        jobs.start_clean_job(folder_topic(spark, f"{work}/raw"), lake, online, late, None, f"{work}/checkpoint",
+                             jobs.BACKLOG).awaitTermination()
     return online, late
 
 

@@ -1,4 +1,4 @@
-"""The streaming queries: late split, clean-and-enrich, windows."""
+"""The streaming queries: clean-and-enrich with its late rows, and windows."""
 
 from __future__ import annotations
 
@@ -10,14 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from paystrata.model import CUSTOMER_LOOKUP_PREFIX, LATE_TRANSACTION, MERCHANT_LOOKUP_PREFIX, TRANSACTION_ONLINE
-from paystrata.operators.detail import clean_transactions
 from paystrata.session import adaptive
 from paystrata.sources.keyed import KeyedLog
 from paystrata.sources.lake import Lake
 from paystrata.sources.lookup import lookup
 from paystrata.sources.topics import parse_messages, to_messages
-from paystrata.streaming.dedup import dedup_first, dedup_latest
-from paystrata.streaming.late import DELAY_SECONDS, set_late_aside
 from paystrata.streaming.newest import TTL_SECONDS, of_kind, tagged
 from paystrata.streaming.windows import DELAY, both_windows
 
@@ -45,42 +42,16 @@ def start(df: DataFrame, mode: str, checkpoint: str, trigger: dict,
             .foreachBatch(write_adaptively).start())
 
 
-def start_late_job(messages: DataFrame, late: KeyedLog, checkpoint: str, trigger: dict = EVERY,
-                   delay_seconds: int = DELAY_SECONDS) -> StreamingQuery:
-    """Raw rows older than the watermark go to the late table. They also stay in the main flow."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        set_late_aside(batch, batch_id, f"{checkpoint}-watermarks",
-                       lambda rows: late.upsert(rows.select(*LATE_TRANSACTION.names), batch_id), delay_seconds)
-    return start(parse_messages(messages), "append", checkpoint, trigger, write)
-
-
-def start_clean_job(messages: DataFrame, lake: Lake, online: KeyedLog,
-                    publish: Callable[[DataFrame, int], None] | None, checkpoint: str,
-                    trigger: dict = EVERY, ttl: str | None = None) -> StreamingQuery:
-    """Parse, clean, keep the newest row, enrich; one pass feeds the online table and the next topic.
-
-    With ``ttl``, the first row of a transaction is kept instead, and forgotten after that time.
-
-    The lookup tables are opened anew in each batch, so a dimension published meanwhile is seen. The topic is fed
-    from the batch as the online table holds it: nothing is computed twice, and nothing is lost with an executor.
-    """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        online.upsert(enrich_online(batch, lake.read("lookup_customer"), lake.read("lookup_merchant")), batch_id)
-        if publish:
-            publish(to_messages(online.batch(batch_id), ["transaction_id"]), batch_id)
-    clean = clean_transactions(parse_messages(messages), require_customer=True)
-    if ttl:
-        return start(dedup_first(clean, ttl), "append", checkpoint, trigger, write)
-    return start(dedup_latest(clean), "update", checkpoint, trigger, write)
-
-
-def start_one_scan_job(messages: DataFrame, lake: Lake, online: KeyedLog, late: KeyedLog,
-                       publish: Callable[[DataFrame, int], None] | None, checkpoint: str, trigger: dict = EVERY,
-                       ttl_seconds: int = TTL_SECONDS) -> StreamingQuery:
+def start_clean_job(messages: DataFrame, lake: Lake, online: KeyedLog, late: KeyedLog,
+                    publish: Callable[[DataFrame, int], None] | None, checkpoint: str, trigger: dict = EVERY,
+                    ttl_seconds: int = TTL_SECONDS) -> StreamingQuery:
     """Late rows, the newest rows enriched, and the next topic, from one read of the raw messages.
 
     What is late is told by the engine's watermark; late rows also stay in the main flow. The newest row of a transaction is
     kept for ``ttl_seconds`` of event time. A batch is tagged once and kept on disk for its sinks.
+
+    The lookup tables are opened anew in each batch, so a dimension published meanwhile is seen. The topic is fed
+    from the batch as the online table holds it: nothing is computed twice, and nothing is lost with an executor.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         held = batch.persist(StorageLevel.DISK_ONLY)

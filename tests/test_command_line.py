@@ -30,7 +30,7 @@ def test_day_and_streams(spark, tmp_path, capsys):
     main(["table", "ads_daily_report", "2026-09-04", "--lake", lake, "--sources", sources])
 
     write_folder(to_messages(rows, ["customer_id"], decimals_as_text=True), f"{topics}/transaction", 0)
-    for job in ("clean", "windows", "late"):
+    for job in ("clean", "windows"):
         main(["stream", job, "--lake", lake, "--topics", topics, "--backlog"])
     online = KeyedLog(spark, f"{lake}/keyed/dwd_transaction_online", TRANSACTION_ONLINE, ONLINE_KEY)
     assert {r.merchant_risk_level for r in online.latest().collect()} == {"HIGH"}

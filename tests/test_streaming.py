@@ -16,9 +16,8 @@ from paystrata.sources.keyed import KeyedLog
 from paystrata.sources.lake import Lake
 from paystrata.sources.lookup import publish_lookup
 from paystrata.sources.topics import folder_topic, parse_messages, to_messages, write_folder
-from paystrata.streaming import jobs, windows
+from paystrata.streaming import jobs, newest, windows
 from paystrata.streaming.dedup import dedup_first, dedup_latest
-from paystrata.streaming.late import set_late_aside
 
 START = datetime(2026, 9, 4, 10)
 
@@ -122,32 +121,96 @@ def test_one_transaction_with_very_many_copies(spark, tmp_path):
     assert sink.latest().filter("transaction_id = 'HOT'").first().amount == Decimal("29998.00")
 
 
-def test_late_rows_by_batch_and_replay(spark, tmp_path):
-    state = str(tmp_path / "watermarks")
-    batches = [
-        [("T1", 1, "C1", "M1", 0), ("T2", 1, "C1", "M1", 60), ("T3", 1, "C1", "M1", 56)],   # disorder inside
-        [("T4", 1, "C1", "M1", 54), ("T5", 1, "C1", "M1", 55), ("T6", 1, "C1", "M1", None), ("T7", -1, None, "M1", 0)],
-        [],
-        [("T8", 1, "C1", "M1", 54), ("T9", 1, "C1", "M1", 200)],
-        [("T10", 1, "C1", "M1", 194), ("T11", 1, "C1", "M1", 195)],
-    ]
-    expected = [set(), {"T4", "T7"}, set(), {"T8"}, {"T10"}]     # rows are not cleaned first
-    for _ in range(2):                                           # the second round replays every batch
-        for number, data in enumerate(batches):
-            late = []
-            set_late_aside(transactions(spark, data), number, state, lambda rows: late.extend(rows.collect()))
-            assert {r.transaction_id for r in late} == expected[number]
+def _tags(spark, tmp_path, turns, ttl=newest.TTL_SECONDS):
+    """What each run of one query over the messages of one more turn tags, as (kind, id, amount)."""
+    raw, found = str(tmp_path / "raw"), []
+    for turn, data in enumerate(turns):
+        send(spark, raw, turn, data)
+        out = []
+        jobs.start(newest.tagged(folder_topic(spark, raw), ttl), "update", str(tmp_path / "checkpoint"), jobs.BACKLOG,
+                   lambda rows, n: out.extend(rows.select("kind", "value").collect())).awaitTermination()
+        rows = spark.createDataFrame(out, newest.TAGGED)
+        found.append(sorted((kind, str(r.transaction_id), int(r.amount)) for kind in ("late", "newest")
+                            for r in parse_messages(newest.of_kind(rows, kind)).collect()))
+    return found
 
 
-def test_late_job_over_a_restart(spark, tmp_path):
-    raw = str(tmp_path / "raw")
+def test_late_rows_and_newest_rows_from_one_step(spark, tmp_path):
+    turns = [
+        [("T1", 1, "C1", "M1", 0), ("T2", 1, "C1", "M1", 60), ("T3", 1, "C1", "M1", 56), ("T3", 2, "C1", "M1", 56)],
+        [("T4", 1, "C1", "M1", 54), ("T5", 1, "C1", "M1", 55), ("T6", 1, "C1", "M1", None), ("T7", -1, None, "M1", 0),
+         ("T1", 5, "C1", "M1", -1), ("T3", 2, "C1", "M1", 56)],
+        [],
+        [("T8", 1, "C1", "M1", 54), ("T9", 1, "C1", "M1", 200), ("T2", 9, "C1", "M1", 61)],
+        [("T10", 1, "C1", "M1", 194), ("T11", 1, "C1", "M1", 195), (None, 3, "C1", "M1", 2)],
+    ]
+    assert _tags(spark, tmp_path, turns) == [
+        [("newest", "T1", 1), ("newest", "T2", 1), ("newest", "T3", 2)],
+        # rows are late before they are clean; an older version and a copy are no newest rows
+        [("late", "T1", 5), ("late", "T4", 1), ("late", "T7", -1), ("newest", "T4", 1), ("newest", "T5", 1)],
+        [],
+        [("late", "T8", 1), ("newest", "T2", 9), ("newest", "T8", 1), ("newest", "T9", 1)],
+        [("late", "None", 3), ("late", "T10", 1), ("newest", "T10", 1), ("newest", "T11", 1)]]
+
+
+def _state(spark, tmp_path):
+    read = spark.read.format("statestore").option("path", str(tmp_path / "checkpoint"))
+    return read.option("stateVarName", "newest").option("flattenCollectionTypes", "true").load()
+
+
+def test_the_newest_row_is_forgotten_after_its_time(spark, tmp_path):
+    many = [(f"T{n}", 1, "C1", "M1", 0) for n in range(200)]
+    turns = [many, [("T500", 1, "C1", "M1", 30)], [("T1", 2, "C1", "M1", 40), ("T501", 1, "C1", "M1", 100)],
+             [("T502", 1, "C1", "M1", 300)]]
+    counts = []
+    for k in range(len(turns)):
+        found = _tags(spark, tmp_path, turns[:k + 1], ttl=60) if k == 0 else None
+        if found is None:
+            send(spark, str(tmp_path / "raw"), k, turns[k])
+            jobs.start(newest.tagged(folder_topic(spark, str(tmp_path / "raw")), 60), "update", str(tmp_path / "checkpoint"),
+                       jobs.BACKLOG, lambda rows, n: rows.count()).awaitTermination()
+        counts.append(_state(spark, tmp_path).count())
+    # 200 and one more; at 100 - 5 all are gone but T1, renewed at 40, and the last; at 300 - 5 all but the last
+    assert counts == [200, 201, 2, 1]
+
+
+def test_the_clean_job_reads_its_topic_once(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    _dimensions(spark, lake, "V1")
+    send(spark, str(tmp_path / "raw"), 0, [("T1", 1, "C1", "M1", 0)])
+    online = KeyedLog(spark, str(tmp_path / "online"), TRANSACTION_ONLINE, ONLINE_KEY)
     late = KeyedLog(spark, str(tmp_path / "late"), LATE_TRANSACTION, LATE_KEY)
-    for turn, data in enumerate([[("T1", 1, "C1", "M1", 120)], [("T2", 2, "C1", "M1", 0), ("T3", 1, "C1", "M1", 130)],
-                                 [("T2", 3, "C1", "M1", 0), ("T4", 1, "C1", "M1", 126)]]):
-        send(spark, raw, turn, data)
-        jobs.start_late_job(folder_topic(spark, raw), late, str(tmp_path / "checkpoint"),
-                            jobs.BACKLOG).awaitTermination()
-    assert {(r.transaction_id, int(r.amount)) for r in late.latest().collect()} == {("T2", 3)}
+    query = jobs.start_clean_job(folder_topic(spark, str(tmp_path / "raw")), lake, online, late, None,
+                                 str(tmp_path / "checkpoint"), jobs.BACKLOG)
+    query.awaitTermination()
+    assert [len(p["sources"]) for p in query.recentProgress] == [1] * len(query.recentProgress)
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 1        # and each row of it once
+    assert online.latest().count() == 1 and late.latest().count() == 0
+
+
+def test_timed_batches_and_a_restart_with_nothing_kept_locally(spark, tmp_path):
+    """Three batches under the ten-second trigger; before the third, the state is loaded anew from the checkpoint."""
+    raw, out = str(tmp_path / "raw"), []
+
+    def start():
+        return jobs.start(newest.tagged(folder_topic(spark, raw)), "update", str(tmp_path / "checkpoint"), jobs.EVERY,
+                          lambda rows, n: out.append(sorted((r.kind, '"T1"' in r.value) for r in rows.collect())))
+
+    send(spark, raw, 0, [("T1", 1, "C1", "M1", 50)])
+    query = start()
+    query.processAllAvailable()
+    send(spark, raw, 1, [("T2", 1, "C1", "M1", 100)])
+    query.processAllAvailable()
+    query.stop()
+    assert [rows for rows in out if rows] == [[("newest", True)], [("newest", False)]]
+    spark._jvm.org.apache.spark.sql.execution.streaming.state.StateStore.stop()       # drops all local copies of state
+    out.clear()
+    send(spark, raw, 2, [("T1", 7, "C1", "M1", 49), ("T3", 1, "C1", "M1", 101)])
+    query = start()
+    query.processAllAvailable()
+    query.stop()
+    # the older version of T1 is late by the watermark of before the restart, and not newer than what the state holds
+    assert [rows for rows in out if rows] == [[("late", True), ("newest", False)]]
 
 
 def _dimensions(spark, lake, level):
@@ -171,7 +234,7 @@ def test_clean_job_enriches_from_the_newest_lookup_and_feeds_the_windows(spark,
     for turn, (level, data) in enumerate(turns):
         _dimensions(spark, lake, level)
         send(spark, raw, turn, data)
-        jobs.start_clean_job(folder_topic(spark, raw), lake, online,
+        jobs.start_clean_job(folder_topic(spark, raw), lake, online, KeyedLog(spark, str(tmp_path / "late"), LATE_TRANSACTION, LATE_KEY),
                              lambda messages, n: write_folder(messages, topic, n), str(tmp_path / "clean"),
                              jobs.BACKLOG).awaitTermination()
         rows = parse_messages(folder_topic(spark, topic), TRANSACTION_ONLINE)
@@ -243,3 +306,13 @@ def test_first_row_is_kept_and_forgotten(spark, tmp_path):
         jobs.start(first, "append", str(tmp_path / "checkpoint"), jobs.BACKLOG, sink.upsert).awaitTermination()
     seen = [(r.transaction_id, int(r.amount)) for r in sink.rows().collect()]
     assert len(seen) == 4 and {("T2", 1), ("T3", 1), ("T1", 4)} < set(seen)
+
+
+def test_rows_are_reduced_to_panes_before_windows(spark, tmp_path):
+    """Five members of a row before the first shuffle, one state for each step, and no row copied for each window."""
+    rows = spark.readStream.schema(TRANSACTION_ONLINE).parquet(str(tmp_path)).withWatermark("event_time", windows.DELAY)
+    plan = windows.both_windows(rows)._jdf.queryExecution().analyzed().toString().split("\n")
+    steps = [next(w for w in ("Aggregate", "Expand", "Generate") if w in line) for line in plan
+             if any(f"{w} " in line for w in ("Aggregate", "Expand", "Generate"))]
+    # from the top: the two output rows, the window, the values of a window, panes in windows, panes, members
+    assert steps.count("Aggregate") == 3 and steps.index("Expand") == len(steps) - 3 and steps[-2:] == ["Aggregate", "Generate"]
