@@ -331,6 +331,24 @@ SELECT coalesce(s.customer_id, p.customer_id) AS customer_id, transaction_type,
   has_refund, amount_tier, ma7_total_amount, ma7_txn_count, dod_amount_change
 FROM stats s FULL JOIN newest p ON s.customer_id = p.customer_id"""),
 
+    "one_customer_profile": _with(["cd"], f"""
+, stats AS (SELECT customer_id, transaction_type, {_money('sum(amount)')} AS amount_sum,
+    count(*) AS transaction_count FROM clean GROUP BY customer_id, transaction_type),
+newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY dt DESC) AS r
+    FROM ({_PROFILE})) WHERE r = 1)
+SELECT coalesce(s.customer_id, p.customer_id) AS customer_id, transaction_type, amount_sum, transaction_count,
+  {_day('p.dt')} AS dt, txn_count, {_from_cents('p.cents')} AS total_amount, avg_ticket_amount, refund_txn_rate,
+  has_refund, amount_tier, ma7_total_amount, ma7_txn_count, dod_amount_change
+FROM stats s FULL JOIN newest p ON s.customer_id = p.customer_id
+WHERE coalesce(s.customer_id, p.customer_id) = 'C7'"""),
+
+    # of rows alike in the whole key the table keeps one, the greatest by its other columns
+    "one_customer_recent": _with(["clean"], f"""
+SELECT * FROM (SELECT {_TX_COLUMNS} FROM clean WHERE customer_id = 'C7'
+  QUALIFY row_number() OVER (PARTITION BY transaction_id, event_time ORDER BY amount DESC, currency DESC, account_id DESC,
+    merchant_id DESC, transaction_type DESC) = 1) ORDER BY event_time DESC, transaction_id, customer_id, account_id,
+  merchant_id, amount, currency, transaction_type LIMIT 20"""),
+
     "day_replace_rerun": _with(["tx"], f"""
 SELECT {_day('event_time')} AS dt, count(*) AS txn_count, {_money('sum(amount)')} AS total_amount FROM tx
 WHERE CAST(event_time AS DATE) <> DATE '2026-08-15' GROUP BY 1"""),

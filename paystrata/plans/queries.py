@@ -181,16 +181,38 @@ def _online(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detail.clean_transactions(samples.transactions(spark, sf_dir, dirty=True), require_customer=True)
 
 
-@query
-def recent_transactions(spark, sf_dir):
-    """The newest rows of a keyed table of several batches, the last of which repeats rows of the others."""
+def _online_log(spark, sf_dir) -> KeyedLog:
+    """A keyed table of several batches, the last of which repeats rows of the others."""
     log = KeyedLog(spark, scratch_dir(spark, "online"), TRANSACTION, ONLINE_KEY, "customer_id", compact_every=2)
     rows = _online(spark, sf_dir)
     part = F.unix_seconds("event_time") % 3
     for number in (0, 1, 2):
         log.upsert(rows.filter(part == number), number)
     log.upsert(rows.filter(part == 1), 3)
-    return serving.recent_transactions(log.newest("event_time", 20))
+    return log
+
+
+@query
+def recent_transactions(spark, sf_dir):
+    """The newest rows of a keyed table."""
+    return serving.recent_transactions(_online_log(spark, sf_dir).newest("event_time", 20))
+
+
+ONE_CUSTOMER = "C7"
+
+
+@query
+def one_customer_recent(spark, sf_dir):
+    """The newest rows of one customer: the filter reaches the scan, whose files are sorted by customer."""
+    own = F.col("customer_id") == ONE_CUSTOMER
+    return serving.recent_transactions(_online_log(spark, sf_dir).newest("event_time", 20, own), ONE_CUSTOMER)
+
+
+@query
+def one_customer_profile(spark, sf_dir):
+    """The nested profile of one customer, spread out to one row per transaction type."""
+    profiles = stored(reports.customer_profile(_customer_days(spark, sf_dir)), "profiles")
+    return _flat_profile(serving.full_profile(_online(spark, sf_dir), profiles, ONE_CUSTOMER))
 
 
 @query
@@ -255,7 +277,10 @@ def latest_profile(spark, sf_dir):
 @query
 def full_profile(spark, sf_dir):
     """The nested profile of every customer, spread out to one row per customer and transaction type."""
-    nested = serving.full_profile(_online(spark, sf_dir), reports.customer_profile(_customer_days(spark, sf_dir)))
+    return _flat_profile(serving.full_profile(_online(spark, sf_dir), reports.customer_profile(_customer_days(spark, sf_dir))))
+
+
+def _flat_profile(nested: DataFrame) -> DataFrame:
     flat = nested.select("customer_id", F.inline_outer("realtime_stats"), "offline_profile")
     return flat.select("customer_id", "transaction_type", "amount_sum", "transaction_count",
                        *[F.col(f"offline_profile.{name}").alias(name) for name in serving.PROFILE_COLUMNS

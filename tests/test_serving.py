@@ -4,8 +4,9 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
-from paystrata.model import ONLINE_KEY, TABLES, TRANSACTION_ONLINE
+from paystrata.model import ONLINE_KEY, TABLES, TRANSACTION, TRANSACTION_ONLINE
 from paystrata.operators import serving
 from paystrata.sources.keyed import KeyedLog
 from paystrata.sources.lake import conform
@@ -59,3 +60,31 @@ def test_one_customer_is_found_by_pushed_filters(spark, tmp_path, online):
     mine = serving.customer_stats(log.latest(), "C1")
     assert {(r.transaction_type, r.transaction_count) for r in mine.collect()} == {("PAYMENT", 2), ("REFUND", 1)}
     assert "EqualTo(customer_id,C1)" in mine._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_point_read_skips_what_cannot_hold_it(spark, tmp_path):
+    """One customer, and one transaction by its Bloom filter, read few of the rows."""
+    log = KeyedLog(spark, str(tmp_path / "online"), TRANSACTION, ["transaction_id"], "customer_id")
+    rows = spark.range(40_000).select(
+        F.concat(F.lit("T"), F.xxhash64("id").cast("string")).alias("transaction_id"), F.lit(1).cast("decimal(18,2)").alias("amount"),
+        F.lit("CNY").alias("currency"), F.concat(F.lit("C"), F.col("id") % 1000).alias("customer_id"), F.lit("A").alias("account_id"),
+        F.lit("M").alias("merchant_id"), F.lit("PAYMENT").alias("transaction_type"), F.current_timestamp().alias("event_time"))
+    spark.conf.set("parquet.block.size", str(64 * 1024))
+    try:
+        log.upsert(rows.select(*TRANSACTION.names), 0)
+    finally:
+        spark.conf.unset("parquet.block.size")
+
+    def scanned(condition):
+        found = log.rows().filter(condition)
+        n = len(found.collect())
+        plan = found._jdf.queryExecution().executedPlan()
+        return n, plan.collectLeaves().head().metrics().apply("numOutputRows").value()
+
+    known = rows.first().transaction_id
+    n, read = scanned(F.col("customer_id") == "C7")
+    assert n == 40 and read < 10_000
+    n, read = scanned(F.col("transaction_id") == known)
+    assert n == 1 and read < 20_000
+    n, read = scanned(F.col("transaction_id") == "T123")      # within the bounds of every row group, in none
+    assert n == 0 and read == 0
