@@ -19,7 +19,7 @@ from paystrata.llm.secret_scan import redact
 from paystrata.llm.shingle_join import shingle_join
 
 #: A language that is less sure than this is no decision. With two families of two languages no score is below it; there
-#: only the model's own ``und`` rejects, which is a text's likeness to the learned texts and not a choice among languages.
+#: only ``with_language``'s own test rejects, which is a text's likeness to the learned texts and not a choice among languages.
 LEAST_LANGUAGE_SCORE = 0.25
 
 
