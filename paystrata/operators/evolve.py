@@ -54,17 +54,20 @@ def require_refs(adds: DataFrame) -> None:
     _stop(_faults(adds.select(F.lit("adds").alias("change"), F.col("ref").cast("string").alias("id"))))
 
 
-def _faults(named: DataFrame, active_ids: DataFrame | None = None) -> dict[str, Row]:
-    """Per kind of change: ids that are missing, that occur more than once, and that are not among the ACTIVE ones."""
+def _counted(named: DataFrame, active_ids: DataFrame | None = None) -> DataFrame:
+    """(change, id, times, known): how often each kind of change names an id, and whether it is among the ACTIVE ones."""
     counted = named.groupBy("change", "id").agg(F.count(F.lit(1)).alias("times"))
     if active_ids is None:
-        counted = counted.withColumn("_known", F.lit(True))
-    else:
-        counted = counted.join(active_ids.select(active_ids.columns[0], F.lit(True).alias("_known")).toDF("id", "_known"),
-                               "id", "left")
-    found = counted.groupBy("change").agg(
+        return counted.withColumn("known", F.lit(True))
+    known = active_ids.select(active_ids.columns[0], F.lit(True).alias("known")).toDF("id", "known")
+    return counted.join(known, "id", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+
+
+def _faults(named: DataFrame, active_ids: DataFrame | None = None) -> dict[str, Row]:
+    """Per kind of change: ids that are missing, that occur more than once, and that are not among the ACTIVE ones."""
+    found = _counted(named, active_ids).groupBy("change").agg(
         F.count_if(F.col("id").isNull()).alias("missing"), F.count_if(F.col("times") > 1).alias("doubled"),
-        F.count_if(F.col("_known").isNull()).alias("unknown"))
+        F.count_if(~F.col("known")).alias("unknown"))
     return {row["change"]: row for row in found.collect()}       # one row for each kind of change
 
 
@@ -79,11 +82,35 @@ def _stop(faults: dict[str, Row], pk: str = "ref") -> None:
 
 def check_changes(dim: DataFrame, pk: str, changes: Changes) -> None:
     """Stop at changes that cannot be applied, told by one job over all of them and the ids of the dimension."""
+    named = _named(pk, changes)
+    if named is not None:
+        _stop(_faults(named, _active(dim, pk)), pk)
+
+
+def _named(pk: str, changes: Changes) -> DataFrame | None:
     parts = {"adds": (changes.adds, "ref"), "updates": (changes.updates, pk), "deletes": (changes.deletes, pk)}
     named = [rows.select(F.lit(change).alias("change"), F.col(column).cast("string").alias("id"))
              for change, (rows, column) in parts.items() if rows is not None]
-    if named:
-        _stop(_faults(reduce(DataFrame.unionByName, named), dim.filter(F.col("status") == "ACTIVE").select(pk)), pk)
+    return reduce(DataFrame.unionByName, named) if named else None
+
+
+def _active(dim: DataFrame, pk: str) -> DataFrame:
+    return dim.filter(F.col("status") == "ACTIVE").select(pk)
+
+
+def refused_changes(dim: DataFrame, pk: str, changes: Changes) -> DataFrame:
+    """(change, id, reason): what stops a day's changes, one row for each kind of change and id.
+
+    A missing id, one that a kind of change names more than once, and an update or delete of an id that is not ACTIVE. A day can be
+    applied when there is no row; the caller may set these aside and apply the rest.
+    """
+    reason = (F.when(F.col("id").isNull(), "missing").when(F.col("times") > 1, "repeated")
+              .when((F.col("change") != "adds") & ~F.col("known"), "not active"))
+    named = _named(pk, changes)
+    if named is None:
+        return dim.sparkSession.createDataFrame([], "change string, id string, reason string")
+    return (_counted(named, _active(dim, pk)).withColumn("reason", reason)
+            .filter("reason IS NOT NULL").select("change", "id", "reason"))
 
 
 def evolve(dim: DataFrame, pk: str, changes: Changes) -> DataFrame:

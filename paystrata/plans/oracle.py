@@ -357,6 +357,18 @@ WHERE CAST(event_time AS DATE) <> DATE '2026-08-15' GROUP BY 1"""),
 SELECT customer_id, level, region, {_time('register_time')} AS register_time, status
 FROM ({_EVOLVED_CUSTOMERS})"""),
 
+    "dim_refused_changes": _with(["cust"], """
+, named AS (
+  SELECT 'updates' AS change, customer_id AS id, status FROM cust WHERE n % 10 = 0
+  UNION ALL SELECT 'updates', customer_id, status FROM cust WHERE n % 30 = 0
+  UNION ALL SELECT 'updates', customer_id || '0000000', 'DELETED' FROM cust WHERE n % 17 = 0
+  UNION ALL SELECT 'deletes', customer_id, status FROM cust WHERE n % 7 = 0
+  UNION ALL SELECT 'adds', CASE WHEN n % 80 <> 0 THEN customer_id END, 'ACTIVE' FROM cust WHERE n % 40 = 0),
+judged AS (
+  SELECT change, id, CASE WHEN id IS NULL THEN 'missing' WHEN count(*) > 1 THEN 'repeated'
+    WHEN any_value(status) = 'DELETED' THEN 'not active' END AS reason FROM named GROUP BY change, id)
+SELECT * FROM judged WHERE reason IS NOT NULL"""),
+
     "dim_snapshot_rerun": _with(["cust", "merch"], f"""
 SELECT customer_id AS id, level AS kind, region, status, {_time('register_time')} AS since, NULL AS extra
 FROM ({_EVOLVED_CUSTOMERS})

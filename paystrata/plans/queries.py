@@ -17,7 +17,7 @@ from paystrata.model import (
     TRANSACTION, TRANSACTION_ONLINE, WINDOW_KEY,
 )
 from paystrata.operators import detail, dimensions, pools, quality, reports, rollups, serving, staging
-from paystrata.operators.evolve import Changes, evolve
+from paystrata.operators.evolve import Changes, evolve, refused_changes
 from paystrata.plans.history import DimensionHistory
 from paystrata.plans.tables import Warehouse, run_day, run_table
 from paystrata.session import configure, scratch_dir
@@ -332,6 +332,19 @@ def dim_evolve(spark, sf_dir):
     return evolve(known, "customer_id", changes)
 
 
+@query
+def dim_refused_changes(spark, sf_dir):
+    """What stops a day's changes: updates of deleted, unknown and repeated customers, deletes of deleted ones, adds without a name."""
+    customers = samples.customers(spark, sf_dir)
+    number = id_number("customer_id")
+    named = customers.filter(number % 10 == 0).select("customer_id", F.lit("V1").alias("level"))
+    unknown = customers.filter(number % 17 == 0).select(F.concat("customer_id", F.lit("0000000")), F.lit("V1"))
+    adds = customers.filter(number % 40 == 0).select(F.when(number % 80 != 0, F.col("customer_id")).alias("ref"), "level", "region",
+                                                     "register_time")
+    return refused_changes(customers, "customer_id", Changes(
+        adds, named.union(named.filter(number % 30 == 0)).union(unknown), customers.filter(number % 7 == 0).select("customer_id")))
+
+
 @query
 def dim_snapshot_rerun(spark, sf_dir):
     """A day's changes and new accounts applied twice: the second run starts again from the snapshot."""
