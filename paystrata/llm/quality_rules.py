@@ -73,7 +73,7 @@ def line_verdicts(data: np.ndarray, offsets: np.ndarray, word_starts: np.ndarray
     breaks = np.flatnonzero(data == 10)
     starts = np.union1d(offsets[:-1][np.diff(offsets) > 0], breaks + 1)
     starts = starts[starts < len(data)] if len(data) else starts[:0]
-    ends = np.append(starts[1:], len(data))
+    ends = np.append(starts[1:], len(data))[:len(starts)]      # no text, no line
     ends -= data[ends - 1] == 10 if len(ends) else 0
     n_words = np.searchsorted(word_starts, ends) - np.searchsorted(word_starts, starts)
     chars = solid[ends] - solid[starts]

@@ -1,5 +1,7 @@
 """Every operator over awkward documents: nulls, empty and long texts, ties, repeated rows, other columns, no rows."""
 
+import zlib
+
 import pytest
 from cases import empty, frame, rows, texts
 from pyspark.sql import functions as F
@@ -140,3 +142,20 @@ def test_texts_of_unlearned_languages_go(spark, sf):
     short = short.filter(r"text RLIKE '\\p{L}'")
     assert {r["lang_pred"] for r in language_id.identify(short, model).select("lang_pred").distinct().collect()} <= {"de", "en", "es", "fr"}
     assert language_id.with_language(short, model, corpus_pipeline.LEAST_LANGUAGE_SCORE).count() >= 0.999 * short.count()
+
+
+def test_words_that_polynomial_hashes_confuse(spark):
+    """Thue-Morse words and lines agree under every polynomial modulo a power of two."""
+    one, two = ("".join("ab"[(bin(i).count("1") + k) % 2] for i in range(2048)) for k in (0, 1))
+    texts_ = {1: one, 2: two, 3: f"{one}\n{two}", 4: f"{one}\n{one}"}
+    docs = spark.createDataFrame(list(texts_.items()), "doc_id long, text string").coalesce(1)
+    assert {r["doc_id"]: r["n_dup_lines"] for r in quality_rules.quality(docs).collect()} == {1: 0, 2: 0, 3: 0, 4: 1}
+    whole = packing.library(vocabulary("byte_bpe_50k.json"))
+    for r in OPERATORS["packing"](docs).collect():
+        ids = whole.encode(texts_[r["doc_id"]], add_special_tokens=False).ids + [1]
+        own = ids[r["start"]:r["start"] + r["length"]]
+        assert r["ids_crc32"] == zlib.crc32(b"".join(i.to_bytes(4, "little") for i in own))
+    coder = packing.library(vocabulary("word_bpe_49k.json"))
+    assert {r["doc_id"]: r["n_tokens"] for r in OPERATORS["token_counts"](docs).collect()} == {
+        i: len(coder.encode(t, add_special_tokens=False).ids) for i, t in texts_.items()}
+    assert len({r["component_id"] for r in minhash.near_duplicates(docs).collect()}) == 4
