@@ -329,14 +329,13 @@ def star_components(edges: DataFrame) -> DataFrame:
         # large star: every larger neighbour of u goes to the smallest of u and its neighbours
         around = current.select("u", "v").union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = around.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = stored(around.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(),
-                       "minhash-stars")
+        large = around.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # small star: every smaller neighbour of u, and u, goes to the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
         current = stored(small, "minhash-stars")
-        discard(before, large)
+        discard(before)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
@@ -365,35 +364,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     edges = stored(ids.join(twice, "doc_id").select("a", F.col("node").alias("b")), "minhash-links")
 
     def settle(live, edges):
-        """The links found among the pairs of ``live`` added to ``edges``, the components, the lists still open, the sets."""
+        """The components of ``edges`` and the links found among the pairs of ``live``, the lists still open, the sets.
+
+        Components are stars of edges themselves: they take the place of all links found so far.
+        """
         verified = stored(_verified(_pairs(live, percent), single, minima, percent), "minhash-pairs")
         wanted = verified.select(F.explode(F.array("a", "b")).alias("node")).union(
             live.filter("pivot IS NOT NULL").select("node")).distinct()
         sets = stored(_sets(texts, wanted, words), "minhash-sets")
-        found = stored(edges.union(_confirmed(verified, sets, percent)), "minhash-links")
-        labels = star_components(found)
+        labels = star_components(edges.union(_confirmed(verified, sets, percent)))
         rest = live.filter("pivot IS NOT NULL").drop("component")
         open_ = stored(_in_several(rest, labels, "size", "pivot"), "minhash-open")
         discard(verified, edges)
-        return found, labels, open_, sets
+        return labels, open_, sets
+
+    def links(labels):
+        named_edges = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        named_edges.scratch_path = labels.scratch_path
+        return named_edges
 
     # stored once: the lists and their sizes are two reads of it
     banded = stored(_banded(single, bands).distinct(), "minhash-bands")
     live = _live(banded)
     discard(banded)
-    edges, labels, open_, sets = settle(live, edges)
+    labels, open_, sets = settle(live, edges)
     discard(live)
     if not open_.isEmpty():
         groups = stored(_groups(open_), "minhash-groups")
-        discard(sets, open_, labels)
-        edges, labels, open_, sets = settle(groups, edges)
+        discard(sets, open_)
+        labels, open_, sets = settle(groups, links(labels))
         discard(groups)
     if not open_.isEmpty():
         found = stored(_searched(open_, single, sets, minima, percent), "minhash-links")
-        discard(labels)
-        labels = star_components(edges.union(found))
-        discard(found)
-    discard(edges, open_, sets)
+        before, labels = labels, star_components(links(labels).union(found))
+        discard(before, found)
+    discard(open_, sets)
 
     component = F.coalesce("component", "node")
     return named.join(labels, "node", "left").select(
