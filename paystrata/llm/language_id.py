@@ -256,7 +256,8 @@ def _labelled(texts: DataFrame, text_col: str, model: Model, pred: str, score: s
         return block
 
     readable = F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False))
-    made = {name: free_name(texts.columns, name) for name in ("lang", "score", "unlike")}
+    taken = [*texts.columns, pred, score, strange or ""]
+    made = {name: free_name(taken, name) for name in ("lang", "score", "unlike")}
     raw = annotate(texts, text_col, compute, [field(made["lang"], T.StringType()), field(made["score"], T.DoubleType()),
                                               field(made["unlike"], T.BooleanType())])
     out = raw.withColumn(pred, F.when(readable, F.col(made["lang"])).otherwise(UNDETERMINED)).withColumn(
