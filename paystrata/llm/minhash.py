@@ -41,8 +41,6 @@ SIGNATURE = 128
 SHORT = 8
 #: Standard deviations below the expected number of agreeing minima at which a pair is given up.
 SLACK = 5.2
-#: Pairs of one pivot to a group.
-PAIRS_TO_A_GROUP = 2048
 #: Queries, and members asked for them, to one block.
 QUERIES_TO_A_BLOCK = 1024
 MEMBERS_TO_A_BLOCK = 4096
@@ -135,8 +133,9 @@ def _banded(classes: DataFrame, bands: int) -> DataFrame:
 
 def _sets(texts: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """(node, shingles) of the named documents and some others; rows that repeat an id have a row each."""
-    hashed = nodes.select(F.xxhash64("node").alias("h"))
+    hashed = stored(nodes.select(F.xxhash64("node").alias("h")), "minhash-wanted")      # counted, then read again
     wanted = texts.sparkSession.sparkContext.broadcast(filter_of(hashed, hashed.count()))
+    discard(hashed)
 
     def run(batches):
         for batch in batches:
@@ -180,14 +179,11 @@ def _pairs(live: DataFrame, percent: int) -> DataFrame:
 def _with_both(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
     """``pairs`` with the value of a and of b (``a_<name>``, ``b_<name>``).
 
-    A pivot may be in very many pairs: those are dealt to groups of bounded size, and only its one value is copied.
+    A pivot may be in very many pairs: it is the a of them, and the join on a comes last, so that AQE deals its pairs to several
+    tasks and only its one value is copied.
     """
-    groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / PAIRS_TO_A_GROUP).cast("int").alias("groups"))
-    of_a = (groups.join(values.select(F.col("node").alias("a"), F.col(name).alias(f"a_{name}")), "a")
-            .withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).drop("groups"))
-    dealt = pairs.join(groups, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("groups")).cast("int").alias("group"))
-    of_b = values.select(F.col("node").alias("b"), F.col(name).alias(f"b_{name}"))
-    return dealt.join(of_b, "b").join(of_a, ["a", "group"]).select("a", "b", f"a_{name}", f"b_{name}")
+    of = lambda side: values.select(F.col("node").alias(side), F.col(name).alias(f"{side}_{name}"))
+    return pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", f"a_{name}", f"b_{name}")
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, minima: int, percent: int) -> DataFrame:
@@ -200,7 +196,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, minima: int, percent: int) -
             keep = np.count_nonzero(one == two, axis=1) >= least
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return _with_both(pairs, classes, "signature").mapInArrow(run, "a long, b long").distinct()
+    return _with_both(pairs, classes, "signature").mapInArrow(run, "a long, b long")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -215,7 +211,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(one) + len(two) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return _with_both(pairs, sets, "shingles").mapInArrow(run, "a long, b long").distinct()
+    return _with_both(pairs, sets, "shingles").mapInArrow(run, "a long, b long")
 
 
 def _searched(open_: DataFrame, classes: DataFrame, sets: DataFrame, minima: int, percent: int) -> DataFrame:
@@ -318,22 +314,23 @@ def star_components(edges: DataFrame) -> DataFrame:
     gathered: the smallest is an aggregate, and the join on it is split by AQE where skewed.
     """
     oriented = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    current, mark = stored(oriented, "minhash-stars"), None
+    current = stored(oriented, "minhash-stars")
     while True:
-        seen = current.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if seen == mark or not seen["n"]:
+        around = current.select("u", "v").union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        near = around.groupBy("u").agg(F.min("v").alias("low"), F.max("v").alias("high"))
+        # in a star, a node with a smaller neighbour has no other
+        if not near.filter("low < u AND low < high").agg(F.count("*")).first()[0]:
             labels = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
             labels.scratch_path = current.scratch_path
             return labels
-        mark, before = seen, current
-        # large star: every larger neighbour of u goes to the smallest of u and its neighbours
-        around = current.select("u", "v").union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = around.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = around.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        before = current
+        # large star: every larger neighbour of a node goes to the smallest of the node and its neighbours
+        least = near.select(F.col("u").alias("at"), F.least("low", "u").alias("m"))
+        large = current.select("u", F.col("v").alias("at")).join(least, "at").select("u", F.col("m").alias("v"))
         # small star: every smaller neighbour of u, and u, goes to the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
+        small = (large.join(least, "u").select("m", F.explode(F.array("u", "v")).alias("node")).filter("node <> m")
+                 .select(F.col("node").alias("u"), F.col("m").alias("v")).distinct())
         current = stored(small, "minhash-stars")
         discard(before)
 
