@@ -3,19 +3,24 @@
 Both need what the engine knows between micro-batches, so one stateful step tags rows: ``late`` for a row older than the
 engine's own watermark, ``newest`` for the newest row of a transaction when it changed. A row can be both, or neither.
 
-State is kept by bucket of the transaction id, one entry a transaction: the time and rank among equal times of its newest row. An entry goes
-once the watermark is ``ttl`` past that time; a timer of the bucket sees to it, so the state holds the transactions of the
+State is kept by bucket of the transaction id: the time and rank among equal times of the newest row of each transaction. A
+bucket of few transactions has an entry for each; a larger one packs them into cells by hash, of at most 64 on average, and
+doubles its cells as it grows. So a batch costs a call to the state for each cell it meets, not for each transaction. An entry
+goes once the watermark is ``ttl`` past its time; a timer of the bucket sees to it, so the state holds the transactions of the
 last ``ttl`` and not all there ever were. What arrives later than that counts as new.
 """
 
 from __future__ import annotations
 
+import json
+from collections import defaultdict
 from collections.abc import Iterator
+from zlib import crc32
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
-from pyspark.sql.types import LongType, StringType, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructType
 
 from paystrata.model import TRANSACTION
 from paystrata.operators.detail import is_clean
@@ -24,10 +29,21 @@ from paystrata.streaming.windows import DELAY
 #: Buckets of transactions. Fixed for the life of a checkpoint; more than any number of state partitions.
 BUCKETS = 4096
 TTL_SECONDS = 7 * 86_400
+#: Transactions a bucket may hold as an entry each, and in a cell on average.
+FEW, FULL = 8, 64
 
 TAGGED = "kind string, value string"
 
 
+def _cells(count: int) -> int:
+    """The number of cells for so many transactions, half full; 0 where each is an entry of its own."""
+    return 0 if count <= FEW else 1 << ((count - 1) // (FULL // 2)).bit_length()
+
+
+def _cell(transaction_id: str, cells: int) -> str:
+    return str(crc32(transaction_id.encode()) % cells) if cells else transaction_id
+
+
 class NewestAndLate(StatefulProcessor):
     """Tags the rows (transaction_id, micros, rank, value) of a bucket; ``transaction_id`` is null for a row that is not clean."""
 
@@ -36,46 +52,100 @@ class NewestAndLate(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.newest = handle.getMapState("newest", StructType().add("transaction_id", StringType()),
-                                         StructType().add("micros", LongType()).add("rank", StringType()))
-        self.timer = handle.getValueState("timer", StructType().add("millis", LongType()))
+        # a cell is JSON: {transaction_id: [micros, rank]}
+        self.newest = handle.getMapState("newest", StructType().add("cell", StringType()),
+                                         StructType().add("entries", StringType()))
+        # how many cells and transactions the bucket has, and when its timer is due
+        self.shape = handle.getValueState("shape", StructType().add("cells", IntegerType()).add("count", LongType())
+                                          .add("millis", LongType()))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
         best: dict[str, tuple[int, str, str]] = {}
         for row in rows:
-            if row["micros"] < watermark * 1000:
-                yield Row(kind="late", value=row["value"])
-            transaction_id, own = row["transaction_id"], (row["micros"], row["rank"], row["value"])
-            if transaction_id is not None and own[:2] > best.get(transaction_id, (own[0] - 1, ""))[:2]:
-                best[transaction_id] = own
+            transaction_id, micros, rank, value = (row[name] for name in ("transaction_id", "micros", "rank", "value"))
+            if micros < watermark * 1000:
+                yield Row(kind="late", value=value)
+            if transaction_id is not None:
+                known = best.get(transaction_id)
+                if known is None or (micros, rank) > known[:2]:
+                    best[transaction_id] = micros, rank, value
+        if best:
+            for value in self._changed(best, watermark):
+                yield Row(kind="newest", value=value)
+
+    def _changed(self, best: dict[str, tuple[int, str, str]], watermark: int) -> list[str]:
+        """Keep what is newer than the state, and return its messages."""
+        cells, count, millis = self.shape.get() or (0, 0, None)
+        met, touched = defaultdict(dict), None
+        if count + len(best) > (cells * FULL or FEW):
+            wider = _cells(count + len(best))
+            if count:
+                for entries in self._all().values():
+                    for transaction_id, known in entries.items():
+                        met[_cell(transaction_id, wider)][transaction_id] = known
+                self.newest.clear()
+            cells, touched = wider, met.keys()
+        changed, written = [], set()
         for transaction_id, own in best.items():
-            known = self.newest.getValue((transaction_id,))
+            cell = _cell(transaction_id, cells)
+            if touched is None and cell not in met:
+                met[cell] = self._entries(self.newest.getValue((cell,)))
+            known = met[cell].get(transaction_id)
             if known is None or own[:2] > tuple(known):
-                self.newest.updateValue((transaction_id,), own[:2])
-                yield Row(kind="newest", value=own[2])
-        if best and not self.timer.exists():
-            self._look_again(min(own[0] for own in best.values()) // 1000, watermark)
+                count += known is None
+                met[cell][transaction_id] = own[:2]
+                written.add(cell)
+                changed.append(own[2])
+        self._write(met, written if touched is None else met)
+        if millis is None:
+            millis = self._look_again(min(own[0] for own in best.values()) // 1000, watermark)
+        if changed or touched is not None:
+            self.shape.update((cells, count, millis))
+        return changed
+
+    @staticmethod
+    def _entries(value: tuple | None) -> dict[str, list]:
+        return json.loads(value[0]) if value else {}
+
+    def _all(self) -> dict[str, dict[str, list]]:
+        return {cell: self._entries(value) for (cell,), value in self.newest.iterator()}
+
+    def _write(self, held: dict[str, dict], cells) -> None:
+        for cell in cells:
+            if held[cell]:
+                self.newest.updateValue((cell,), (json.dumps(held[cell], ensure_ascii=False, separators=(",", ":")),))
+            else:
+                self.newest.removeKey((cell,))
 
-    def _look_again(self, oldest: int, watermark: int) -> None:
+    def _look_again(self, oldest: int, watermark: int) -> int:
         """Wake up when the oldest entry ends, and not before a tenth of the time to live has passed."""
         at = max(oldest + self.ttl + 1, watermark + self.ttl // 10 + 1)
         self.handle.registerTimer(at)
-        self.timer.update((at,))
+        return at
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        least, gone = None, []
-        for (transaction_id,), (micros, _) in self.newest.iterator():
-            if micros // 1000 + self.ttl < watermark:
-                gone.append(transaction_id)
-            else:
-                least = min(micros // 1000, least or micros // 1000)
-        for transaction_id in gone:
-            self.newest.removeKey((transaction_id,))
-        self.timer.clear()
-        if least is not None:
-            self._look_again(least, watermark)
+        cells, before, _ = self.shape.get()
+        held = self._all()
+        left = {cell: {transaction_id: own for transaction_id, own in entries.items()
+                       if own[0] // 1000 + self.ttl >= watermark} for cell, entries in held.items()}
+        count = sum(map(len, left.values()))
+        if not count:
+            self.newest.clear()
+            self.shape.clear()
+            return iter(())
+        if cells > 4 * _cells(count):
+            cells, packed = _cells(count), defaultdict(dict)
+            for entries in left.values():
+                for transaction_id, own in entries.items():
+                    packed[_cell(transaction_id, cells)][transaction_id] = own
+            self.newest.clear()
+            self._write(packed, packed)
+        else:
+            self._write(left, [cell for cell in held if len(left[cell]) < len(held[cell])])
+        oldest = min(own[0] for entries in left.values() for own in entries.values()) // 1000
+        self.shape.update((cells, count, self._look_again(oldest, watermark)))
         return iter(())
 
     def close(self) -> None:
