@@ -21,17 +21,20 @@ _DISTINCT = {"transaction_count": "transaction_id", "merchant_count": "merchant_
              "currency_count": "currency", "txn_type_count": "transaction_type"}
 
 
+#: Parts by hash into which the values of a pane, customer and counted column are split, each a set of its own.
+PARTS = 64
+
 #: What is kept of the rows of a group, and how it is merged.
 _MERGED = {"total": F.sum, "amounts": F.sum, "largest": F.max, "smallest": F.min, "high": F.sum, "large": F.sum,
            "first": F.min, "last": F.max}
 
 
 def panes(df: DataFrame, pane: str) -> DataFrame:
-    """Per pane (``window``), customer, counted column and value: the measures of its rows.
+    """Per pane (``window``), customer, counted column and part of its values: the set of values, and the measures of the rows.
 
     This is all that is computed on rows. A row is five members before the first shuffle, one for each distinct count,
-    however many windows it is in; members of one pane and value combine in the tasks. A hot customer is spread over all
-    tasks by the values, and its state is many small rows.
+    however many windows it is in; members of one pane and part combine in the tasks. A hot customer is spread over all
+    tasks by the parts. The state has a row for each part, not for each transaction, so its rows do not grow with the input.
     """
     rows = df.filter((F.col("amount") > 0) & F.col("customer_id").isNotNull())
     nothing = F.lit(None)
@@ -43,20 +46,21 @@ def panes(df: DataFrame, pane: str) -> DataFrame:
             (F.col("amount") if carries else nothing.cast(df.schema["amount"].dataType)).alias("amount"),
             (F.coalesce(F.col("merchant_risk_level") == "HIGH", F.lit(False)) if carries else F.lit(False))
             .alias("high_risk")))
+    part = F.pmod(F.xxhash64("value"), F.lit(PARTS)).cast("int").alias("part")
     return (rows.select("event_time", "customer_id", F.inline(F.array(*members)))
-            .groupBy(F.window("event_time", pane).alias("window"), "customer_id", "counted", "value")
-            .agg(F.sum("amount").alias("total"), F.count("amount").alias("amounts"),
+            .groupBy(F.window("event_time", pane).alias("window"), "customer_id", "counted", part)
+            .agg(F.collect_set("value").alias("values"), F.sum("amount").alias("total"), F.count("amount").alias("amounts"),
                  F.max("amount").alias("largest"), F.min("amount").alias("smallest"),
                  F.count_if("high_risk").alias("high"), F.sum(large_amount(F.col("amount"))).alias("large"),
                  F.min("event_time").alias("first"), F.max("event_time").alias("last")))
 
 
 def _totals(window_type: str, window: Column, among: Column | None = None, prefix: str = "") -> Column:
-    """The aggregate that makes an output row from the per-value rows among which a condition holds, one for each value."""
+    """The aggregate that makes an output row from the rows by part among which a condition holds, one for each part."""
     among = F.lit(True) if among is None else among
     of = {name: merge(F.when(among, F.col(f"{prefix}{name}"))) for name, merge in _MERGED.items()}
-    counts = [F.count_if(among & (F.col("counted") == column) & F.col("value").isNotNull()).alias(name)
-              for name, column in _DISTINCT.items()]
+    distinct = F.col(f"{prefix}distinct")
+    counts = [F.sum(F.when(among & (F.col("counted") == column), distinct).otherwise(0)) for column in _DISTINCT.values()]
     made = {"window_type": F.lit(window_type), "window_start": window["start"], "window_end": window["end"],
             "total_amount": of["total"].cast(MONEY),
             "avg_amount": F.try_divide(of["total"].cast("double"), of["amounts"]), "max_amount": of["largest"],
@@ -71,17 +75,23 @@ def _spanned(df: DataFrame, size: str, slide: str) -> DataFrame:
     return panes(df, slide).select("*", F.window("window", size, slide).alias("span"))
 
 
+def _all_distinct() -> Column:
+    """The number of values in the sets of the panes of a group."""
+    return F.size(F.array_distinct(F.flatten(F.collect_list("values")))).alias("distinct")
+
+
 def tumbling(df: DataFrame, size: str = TUMBLE) -> DataFrame:
     """Totals per window and customer; on a stream, give ``df`` a watermark and use append mode."""
-    found = panes(df, size).groupBy("window", "customer_id").agg(_totals("TUMBLE", F.col("window")).alias("out"))
+    per_part = panes(df, size).withColumn("distinct", F.size("values"))
+    found = per_part.groupBy("window", "customer_id").agg(_totals("TUMBLE", F.col("window")).alias("out"))
     return found.select("out.*")
 
 
 def hopping(df: DataFrame, size: str = HOP[0], slide: str = HOP[1]) -> DataFrame:
     """Totals per overlapping window and customer, from panes of ``slide``, of which ``size`` is a multiple."""
-    per_value = _spanned(df, size, slide).groupBy("span", "customer_id", "counted", "value").agg(
-        *[merge(name).alias(name) for name, merge in _MERGED.items()])
-    return per_value.groupBy("span", "customer_id").agg(_totals("HOP", F.col("span")).alias("out")).select("out.*")
+    per_part = _spanned(df, size, slide).groupBy("span", "customer_id", "counted", "part").agg(
+        _all_distinct(), *[merge(name).alias(name) for name, merge in _MERGED.items()])
+    return per_part.groupBy("span", "customer_id").agg(_totals("HOP", F.col("span")).alias("out")).select("out.*")
 
 
 def both_windows(df: DataFrame) -> DataFrame:
@@ -93,13 +103,14 @@ def both_windows(df: DataFrame) -> DataFrame:
     if TUMBLE != HOP[1]:
         raise ValueError("a tumbling window must be as long as the hopping windows' slide")
     newest = F.col("window.end") == F.col("span.end")
-    per_value = _spanned(df, *HOP).groupBy("span", "customer_id", "counted", "value").agg(
+    per_part = _spanned(df, *HOP).groupBy("span", "customer_id", "counted", "part").agg(
+        _all_distinct(), F.max(F.when(newest, F.size("values"))).alias("new_distinct"),
         *[merge(name).alias(name) for name, merge in _MERGED.items()],
         *[merge(F.when(newest, F.col(name))).alias(f"new_{name}") for name, merge in _MERGED.items()],
         F.max(newest).alias("new"))
     end = F.col("span")["end"]
     pane = F.struct((end - F.expr(f"INTERVAL {TUMBLE}")).alias("start"), end.alias("end"))
-    found = per_value.groupBy("span", "customer_id").agg(
+    found = per_part.groupBy("span", "customer_id").agg(
         _totals("HOP", F.col("span")).alias("hop"),
         _totals("TUMBLE", pane, F.col("new"), "new_").alias("tumble"), F.max("new").alias("new"))
     return found.select(F.inline(F.when(F.col("new"), F.array("hop", "tumble")).otherwise(F.array("hop"))))
