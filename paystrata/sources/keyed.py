@@ -33,23 +33,24 @@ class KeyedLog:
         self._stored = StructType([*schema.fields, StructField("batch_id", LongType())])
         self._folder = Folder(spark, self.path)
 
-    def upsert(self, df: DataFrame, batch_id: int) -> None:
+    def upsert(self, df: DataFrame, batch_id: int, gather: bool = True) -> None:
         """Write the rows of a batch; the last batch that holds a key wins.
 
         Rows are gathered into files of even size first: a stream has as many output tasks as state partitions, and
-        a small file from each, in each batch, would soon be too many.
+        a small file from each, in each batch, would soon be too many. A batch job, whose tasks are large as they are, may
+        do without (``gather``) and shuffle nothing; compaction brings the rows of a ``near`` value together later.
         """
         rows = df.select(*[F.col(field.name).cast(field.dataType).alias(field.name) for field in self.schema])
-        self._write(rows, f"log/batch_id={batch_id}")
+        self._write(rows, f"log/batch_id={batch_id}", gather)
         if self._every and batch_id % self._every == self._every - 1:
             self.compact()
 
-    def _write(self, rows: DataFrame, name: str) -> None:
+    def _write(self, rows: DataFrame, name: str, gather: bool) -> None:
+        if gather:
+            rows = rows.hint("rebalance", *([F.col(self._near)] if self._near else []))
         if self._near:
-            rows = rows.hint("rebalance", F.col(self._near)).sortWithinPartitions(self._near)
-        else:
-            rows = rows.hint("rebalance")
-        writer = rows.write.mode("overwrite").option("parquet.bloom.filter.adaptive.enabled", "true")
+            rows = rows.sortWithinPartitions(self._near)
+        writer = rows.write.mode("overwrite").option("compression", "zstd").option("parquet.bloom.filter.adaptive.enabled", "true")
         for column in {*self.keys, self._near} - {None}:
             if self.schema[column].dataType == StringType():        # ids; times have their minima and maxima
                 writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
@@ -110,7 +111,8 @@ class KeyedLog:
             return
         upto = batches[-2]
         newest = latest_by_key(self.rows().filter(F.col("batch_id") <= upto), self.keys, ["batch_id"])
-        self._write(newest.select(*self._stored.names), f"base/upto={upto}")
+        # the fold's own shuffle is by key, which adaptive planning has made even
+        self._write(newest.select(*self._stored.names), f"base/upto={upto}", gather=self._near is not None)
         for batch in batches:
             if batch <= old_base:       # readers that started before this base still find the last one's log
                 self._folder.delete(f"log/batch_id={batch}")
