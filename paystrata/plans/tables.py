@@ -65,7 +65,8 @@ def _ods_transaction(house: Warehouse, name: str, day: str | None) -> dict[str,
     rows, expected = staging.ods_transaction(raw), raw.count()
     if day:
         return house.lake.replace_day(rows, name, day, min_rows=expected)
-    return house.lake.replace_table(rows, name, min_rows=expected)
+    by_day_already = isinstance(house.sources["transaction"], Lake)
+    return house.lake.replace_table(rows, name, min_rows=expected, gather=not by_day_already)
 
 
 def _ods_dimension(house: Warehouse, name: str, day: str | None) -> dict[str, int]:

@@ -154,25 +154,29 @@ class Lake:
 
     # ---- writes
 
-    def _write(self, df: DataFrame, table: str, path: str, by_day: bool) -> None:
-        if by_day:
+    def _write(self, df: DataFrame, table: str, path: str, by_day: bool, gather: bool = True) -> None:
+        if by_day and gather:
             # rows of one day come together, in as many evenly sized parts as the day needs
             df = df.hint("rebalance", F.col("dt"))
         keys = (["dt"] if by_day else []) + SORT_KEYS.get(table, [])
         if keys:
             df = df.sortWithinPartitions(*keys)
-        writer = df.write
+        writer = df.write.option("compression", "zstd")
         (writer.partitionBy("dt") if by_day else writer).parquet(f"{self.root}/{path}")
 
     def replace_table(self, df: DataFrame, table: str, rules: list[Rule] | None = None,
-                      min_rows: int = 0, unique: str | None = None, max_rows: int | None = None) -> dict[str, int]:
+                      min_rows: int = 0, unique: str | None = None, max_rows: int | None = None,
+                      gather: bool = True) -> dict[str, int]:
         """Write a new version of the whole table, check it, publish it; returns what the check counted.
 
+        Rows read from another table by day lie in its day files: with ``gather`` off they are not shuffled by day again, and
+        the table has at most as many files as the tasks read pieces of files.
+
         With ``unique``, a table in which two rows have the same key, or one has none, is not published.
         """
         rows, number = conform(df, table), self._next(table)
         by_day = "dt" in rows.columns
-        self._write(rows, table, f"{table}/w={number}", by_day)
+        self._write(rows, table, f"{table}/w={number}", by_day, gather)
         folders = self._written(table, number, by_day)
         found = enforce(self._load(table, folders), rules or [], min_rows, max_rows, unique)
         self._publish(table, number, folders)
