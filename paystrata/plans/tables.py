@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from paystrata.functions.days import parse_day
@@ -131,8 +133,18 @@ _JOBS = {
 
 
 def run_day(house: Warehouse, day: str, grace_seconds: float = 86_400) -> dict[str, dict[str, int]]:
-    """All tables of one day, layer by layer, then the clean-up; running it again changes nothing."""
-    done = {name: run_table(house, name, day) for layer in LAYERS for name in layer}
+    """All tables of one day, layer by layer, then the clean-up; running it again changes nothing.
+
+    The tables of a layer do not read each other: their jobs share the cluster instead of waiting for each other's last
+    tasks. If one fails, the others of its layer are finished and later layers are not begun.
+    """
+    done = {}
+    for layer in LAYERS:
+        with ThreadPoolExecutor(len(layer)) as pool:
+            # wrapped anew for each table: a wrapper holds its own copy of this thread's job properties
+            jobs = {name: pool.submit(inheritable_thread_target(house.spark)(run_table), house, name, day)
+                    for name in layer}
+        done |= {name: job.result() for name, job in jobs.items()}
     for name in done:
         house.lake.drop_old_versions(name, grace_seconds=grace_seconds)
     return done

@@ -158,9 +158,9 @@ class Lake:
         if by_day and gather:
             # rows of one day come together, in as many evenly sized parts as the day needs
             df = df.hint("rebalance", F.col("dt"))
-        keys = (["dt"] if by_day else []) + SORT_KEYS.get(table, [])
-        if keys:
-            df = df.sortWithinPartitions(*keys)
+        keys = SORT_KEYS.get(table, [])
+        if keys:        # without keys the writer itself sorts by day, unless the rows come so
+            df = df.sortWithinPartitions(*(["dt"] if by_day else []), *keys)
         writer = df.write.option("compression", "zstd")
         (writer.partitionBy("dt") if by_day else writer).parquet(f"{self.root}/{path}")
 
@@ -198,9 +198,9 @@ class Lake:
         self._publish(table, number, [*others, folder])
         return found
 
-    def append(self, df: DataFrame, table: str) -> None:
-        """Add rows to a table; nothing is read back."""
+    def append(self, df: DataFrame, table: str, gather: bool = True) -> None:
+        """Add rows to a table; nothing is read back. With ``gather`` off the rows lie together by day already."""
         rows, number = conform(df, table), self._next(table)
         by_day = "dt" in rows.columns
-        self._write(rows, table, f"{table}/w={number}", by_day)
+        self._write(rows, table, f"{table}/w={number}", by_day, gather)
         self._publish(table, number, [*(self._live(table) or []), *self._written(table, number, by_day)])
